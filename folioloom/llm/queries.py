@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioloom.llm import bpe
+from folioloom.llm import bpe, repetition
+from folioloom.llm.labels import LANGUAGES, normal_label
 from folioloom.runtime import read, spread
 
 
@@ -17,7 +19,42 @@ def p8_round_trip(spark: SparkSession, root: str) -> DataFrame:
     return bpe.decode(p8_ids(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_round_trip)}
+#: Strata of the calibration, and the largest labelled holdout of each.
+STRATA, HOLDOUT = (*LANGUAGES, "other"), 1000
+
+
+def _by_stratum(spark: SparkSession, root: str) -> DataFrame:
+    documents = spread(read(spark, root, "documents", "doc_id", "text", "lang"))
+    return documents.select("doc_id", "text", F.coalesce(normal_label(F.col("lang")), F.lit("other")).alias("stratum"))
+
+
+def _cutoffs(spark: SparkSession, root: str) -> list[tuple]:
+    sample = repetition.sample_per_stratum(_by_stratum(spark, root), "doc_id", HOLDOUT)
+    return repetition.calibrate(repetition.labelled(sample), list(STRATA))
+
+
+def p10_cutoffs(spark: SparkSession, root: str) -> DataFrame:
+    return spark.createDataFrame(_cutoffs(spark, root), "stratum string, cutoff double, sound long, falsely_rejected long, bound double")
+
+
+def p10_share(spark: SparkSession, root: str) -> DataFrame:
+    return repetition.shares(spread(read(spark, root, "documents", "doc_id", "text")), ["doc_id"])
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    """Rejected by the calibrated cutoff of the stratum, then by the limit itself.
+
+    A cutoff above the limit would lose documents that the definition counts,
+    and a stratum without proof has none; in both cases the limit stands alone.
+    """
+    cutoffs = {s: min(c, repetition.LIMIT) for s, c, *_ in _cutoffs(spark, root)}
+    cutoff = F.create_map(*[F.lit(x) for pair in cutoffs.items() for x in pair])[F.col("stratum")]
+    scored = repetition.shares(_by_stratum(spark, root), ["doc_id", "stratum"])
+    rejected = scored.where((F.col("repeated_share") >= cutoff) & (F.col("letters") > 0))
+    return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
 
 SQL: dict[str, str] = {
     "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
