@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import bpe, repetition
+from folioloom.llm import bpe, repetition, split
 from folioloom.llm.labels import LANGUAGES, normal_label
 from folioloom.runtime import read, spread
 
@@ -19,6 +19,21 @@ def p8_round_trip(spark: SparkSession, root: str) -> DataFrame:
     return bpe.decode(p8_ids(spark, root))
 
 
+def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
+    return split.split_blocks(read(spark, root, "blocks", "block_id", "type", "content"), read(spark, root, "split_limits"))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return p5_pieces(spark, root).where("piece_no = 0 AND n_pieces > 1").select("block_id").distinct()
+
+
+def p5_joined(spark: SparkSession, root: str) -> DataFrame:
+    """The pieces put together again without their overlaps."""
+    own = F.expr("struct(piece_no, substring(piece, overlap + 1) AS own)")
+    whole = F.array_sort(F.collect_list(own))["own"]
+    return p5_pieces(spark, root).groupBy("block_id").agg(F.concat_ws("", whole).alias("content"))
+
+
 #: Strata of the calibration, and the largest labelled holdout of each.
 STRATA, HOLDOUT = (*LANGUAGES, "other"), 1000
 
@@ -54,8 +69,12 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_pieces, p5_joined, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+
+_OVERSIZED = "FROM blocks b JOIN (SELECT type, min(max_chars) AS m FROM split_limits GROUP BY type) l ON b.type = l.type WHERE l.m >= 1 AND length(b.content) > l.m"
 
 SQL: dict[str, str] = {
+    "p5_found": f"SELECT DISTINCT block_id {_OVERSIZED}",
+    "p5_joined": f"SELECT block_id, content {_OVERSIZED}",
     "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
