@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import bpe, repetition, split
+from folioloom.llm import bpe, canon, repetition, split
 from folioloom.llm.labels import LANGUAGES, normal_label
 from folioloom.runtime import read, spread
 
@@ -19,6 +19,14 @@ def p8_round_trip(spark: SparkSession, root: str) -> DataFrame:
     return bpe.decode(p8_ids(spark, root))
 
 
+def p4_canonical(spark: SparkSession, root: str) -> DataFrame:
+    return canon.canonical_texts(spread(read(spark, root, "blocks", "block_id", "content")), ["block_id"])
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return canon.same_reading(spread(read(spark, root, "blocks", "block_id", "content")), read(spark, root, "heading_terms", "term_id", "term"))
+
+
 def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
     return split.split_blocks(read(spark, root, "blocks", "block_id", "type", "content"), read(spark, root, "split_limits"))
 
@@ -69,7 +77,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_pieces, p5_joined, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
 
 _OVERSIZED = "FROM blocks b JOIN (SELECT type, min(max_chars) AS m FROM split_limits GROUP BY type) l ON b.type = l.type WHERE l.m >= 1 AND length(b.content) > l.m"
 

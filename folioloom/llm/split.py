@@ -50,12 +50,16 @@ class Piece:
     cut: str | None
 
 
-def _whole_clusters(text: str, at: int, low: int) -> int:
-    """The last position up to ``at``, above ``low``, that doesn't cut a cluster; ``at`` if there is none."""
-    k = at
-    while k > low + 1 and (_INNER.match(text[k]) or text[k - 1] == "‍" or text[k - 1 : k + 1] == "\r\n"):
-        k -= 1
-    return k if k > low + 1 else at
+def _whole_clusters(text: str, at: int, low: int, high: int) -> int:
+    """The position nearest to ``at``, above ``low`` and up to ``high``, that doesn't cut a cluster; ``at`` if there is none."""
+
+    def cuts(k: int) -> bool:
+        return bool(_INNER.match(text[k])) or text[k - 1] == "\u200d" or text[k - 1 : k + 1] == "\r\n"
+
+    for k in (*range(at, low, -1), *range(at + 1, min(high, len(text) - 1) + 1)):
+        if not cuts(k):
+            return k
+    return at
 
 
 def boundaries(text: str, step: int, code: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,7 +75,7 @@ def boundaries(text: str, step: int, code: bool) -> tuple[np.ndarray, np.ndarray
         if end <= at[-1]:
             continue
         while end - at[-1] > step:  # nothing natural in reach
-            k = _whole_clusters(text, at[-1] + fine, at[-1])
+            k = _whole_clusters(text, at[-1] + fine, at[-1], at[-1] + step)
             at.append(k)
             kinds.append(5)
         at.append(end)

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from folioloom.llm import split as S
 
-TEXTS = st.lists(st.sampled_from(["word", " ", ". ", "\n", "\n\n", ", ", "长文本", "。", "é", "é", "x" * 30, "👩‍🔬", "\r\n", "    "]), max_size=150).map("".join)
+TEXTS = st.lists(st.sampled_from(["word", " ", ". ", "\n", "\n\n", ", ", "长文本", "。", "\u00e9", "e\u0301", "x" * 30, "👩\u200d🔬", "\r\n", "    "]), max_size=150).map("".join)
 
 
 @settings(max_examples=300, deadline=None)
@@ -56,7 +56,7 @@ def test_cuts_are_optimal(text, size, overlap):
 def test_prefers_natural_boundaries():
     text = "First sentence here. Second one follows.\n\nA new paragraph begins and goes on."
     assert [text[p.start : p.end] for p in S.split(text, 50)] == ["First sentence here. Second one follows.\n\n", "A new paragraph begins and goes on."]
-    assert all(p.end % 2 == 0 for p in S.split("é" * 100, 31))
+    assert all(p.end % 2 == 0 for p in S.split("e\u0301" * 100, 31))
 
 
 def test_frames(spark):
