@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import bpe, canon, repetition, split
+from folioloom.llm import bpe, canon, mojibake, repetition, split
 from folioloom.llm.labels import LANGUAGES, normal_label
+from folioloom.llm.training import training_texts
 from folioloom.runtime import read, spread
 
 
@@ -42,6 +44,23 @@ def p5_joined(spark: SparkSession, root: str) -> DataFrame:
     return p5_pieces(spark, root).groupBy("block_id").agg(F.concat_ws("", whole).alias("content"))
 
 
+def _encoding_model(spark: SparkSession, root: str) -> Broadcast:
+    """Fitted on the bounded samples of documents and of blocks, as blocks hold bullets and references that documents lack."""
+    documents = read(spark, root, "documents", "doc_id", "text", "lang")
+    blocks = read(spark, root, "blocks", "block_id", "content", "type").select(F.col("block_id").alias("doc_id"), F.col("content").alias("text"), F.lit(None).cast("string").alias("lang"))
+    samples = training_texts(documents) + training_texts(blocks, 3000)
+    return mojibake.share(spark, [t for _, t in samples])
+
+
+def p7_restored(spark: SparkSession, root: str) -> DataFrame:
+    model = _encoding_model(spark, root)
+    return mojibake.repaired(spread(read(spark, root, "blocks", "block_id", "content")), model, ["block_id"])
+
+
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    return p7_restored(spark, root).where("damaged").select("block_id").distinct()
+
+
 #: Strata of the calibration, and the largest labelled holdout of each.
 STRATA, HOLDOUT = (*LANGUAGES, "other"), 1000
 
@@ -77,7 +96,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
 
 _OVERSIZED = "FROM blocks b JOIN (SELECT type, min(max_chars) AS m FROM split_limits GROUP BY type) l ON b.type = l.type WHERE l.m >= 1 AND length(b.content) > l.m"
 
