@@ -6,7 +6,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import bpe, canon, mojibake, repetition, split
+from folioloom.llm import bpe, canon, markup, mojibake, repetition, split
 from folioloom.llm.labels import LANGUAGES, normal_label
 from folioloom.llm.training import training_texts
 from folioloom.runtime import read, spread
@@ -44,6 +44,20 @@ def p5_joined(spark: SparkSession, root: str) -> DataFrame:
     return p5_pieces(spark, root).groupBy("block_id").agg(F.concat_ws("", whole).alias("content"))
 
 
+def p6_clean(spark: SparkSession, root: str) -> DataFrame:
+    return markup.clean_fields(spread(read(spark, root, "blocks", "block_id", "doc_id", "type", "content", "html")))
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    plain = F.coalesce(F.col("type"), F.lit("")).isin("code", "interline_equation")
+    return p6_clean(spark, root).where((F.size("kinds") > 0) & ~plain).select("block_id", "field_name").distinct()
+
+
+def p6_paths(spark: SparkSession, root: str) -> DataFrame:
+    """The container path that won the vote of each file's pages."""
+    return markup.consensus_paths(spread(read(spark, root, "blocks", "doc_id", "html")), "doc_id", "html")
+
+
 def _encoding_model(spark: SparkSession, root: str) -> Broadcast:
     """Fitted on the bounded samples of documents and of blocks, as blocks hold bullets and references that documents lack."""
     documents = read(spark, root, "documents", "doc_id", "text", "lang")
@@ -96,7 +110,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
 
 _OVERSIZED = "FROM blocks b JOIN (SELECT type, min(max_chars) AS m FROM split_limits GROUP BY type) l ON b.type = l.type WHERE l.m >= 1 AND length(b.content) > l.m"
 
