@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioloom.llm import bpe, canon, markup, mojibake, repetition, split
-from folioloom.llm.labels import LANGUAGES, normal_label
+from folioloom.llm import bpe, canon, language, markup, mojibake, repetition, split
+from folioloom.llm.arrow import local
+from folioloom.llm.labels import LANGUAGES, SPELLINGS, normal_label
 from folioloom.llm.training import training_texts
 from folioloom.runtime import read, spread
 
@@ -21,6 +24,51 @@ def p8_round_trip(spark: SparkSession, root: str) -> DataFrame:
     return bpe.decode(p8_ids(spark, root))
 
 
+def _judged_form(model: Broadcast) -> Callable[[], Callable[[str], str]]:
+    """Texts are judged as restored and without markup: garbled text counts by its original language, markup doesn't count."""
+
+    def prepare() -> Callable[[str], str]:
+        repair = local(model, mojibake.Repair)
+        return lambda text: markup.convert(repair(text).text)[0] or ""
+
+    return prepare
+
+
+def _segments(spark: SparkSession, root: str, least: int) -> DataFrame:
+    filters = spark.sparkContext.broadcast(language.fit(training_texts(read(spark, root, "documents", "doc_id", "text", "lang"))))
+    blocks = spread(read(spark, root, "blocks", "block_id", "doc_id", "type", "content")).where((F.col("type") == "text") & (F.length("content") >= least))
+    return language.segment_texts(blocks, filters, ["block_id", "doc_id"], prepare=_judged_form(_encoding_model(spark, root)))
+
+
+def p3_segments(spark: SparkSession, root: str) -> DataFrame:
+    return _segments(spark, root, 1).drop("doc_id")
+
+
+def p3_labels(spark: SparkSession, root: str) -> DataFrame:
+    return language.file_labels(read(spark, root, "tasks", "submit_order", "file_names", "lang_list"))
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    spoken = _segments(spark, root, 60).where("sentences > 0").select("block_id", "doc_id", "lang").distinct()
+    other = ~F.col("lang").eqNullSafe(F.col("label"))
+    return spoken.join(p3_labels(spark, root), "doc_id", "left").where(other).select("block_id", "lang").distinct()
+
+
+def p3_files(spark: SparkSession, root: str) -> DataFrame:
+    """Each file with its label, the language most of its letters are in, their share, and the language to use.
+
+    The label stays where it names the language of at least a third of the
+    letters, or where the file has no text to judge.
+    """
+    letters = _segments(spark, root, 1).groupBy("doc_id", "lang").agg(F.sum("letters").alias("n"), (F.sum(F.col("confidence") * F.col("letters")) / F.sum("letters")).alias("c"))
+    share = (F.col("n") / F.sum("n").over(Window.partitionBy("doc_id"))).alias("share")
+    shares = letters.select("doc_id", "lang", share, "c").groupBy("doc_id").agg(F.max(F.struct("share", "lang", "c")).alias("top"), F.map_from_entries(F.collect_list(F.struct("lang", "share"))).alias("all"))
+    joined = p3_labels(spark, root).join(shares, "doc_id", "left")
+    keep = F.col("label").isNotNull() & (F.col("top").isNull() | (F.coalesce(F.try_element_at("all", F.col("label")), F.lit(0.0)) >= 1 / 3))
+    lang = F.when(keep, F.col("label")).otherwise(F.col("top.lang"))
+    return joined.select("doc_id", "label", F.col("top.lang").alias("detected"), lang.alias("lang"), F.when(F.col("top").isNotNull(), F.coalesce(F.try_element_at("all", lang), F.lit(0.0)) * F.col("top.c")).alias("confidence"))
+
+
 def p4_canonical(spark: SparkSession, root: str) -> DataFrame:
     return canon.canonical_texts(spread(read(spark, root, "blocks", "block_id", "content")), ["block_id"])
 
@@ -110,11 +158,21 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_segments, p3_labels, p3_files, p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
 
 _OVERSIZED = "FROM blocks b JOIN (SELECT type, min(max_chars) AS m FROM split_limits GROUP BY type) l ON b.type = l.type WHERE l.m >= 1 AND length(b.content) > l.m"
 
+_SPELLED = " ".join(f"WHEN x IN ({', '.join(repr(s) for s in names)}) THEN '{lang}'" for lang, names in SPELLINGS.items())
+_NAMED = "coalesce(CASE {} END, CASE {} END)".format(_SPELLED.replace("x IN", "lower(trim(entry)) IN"), _SPELLED.replace("x IN", "split_part(replace(lower(trim(entry)), '_', '-'), '-', 1) IN"))
+
 SQL: dict[str, str] = {
+    "p3_labels": f"""
+        WITH each AS (
+            SELECT submit_order, file_names, lang_list, unnest(file_names) AS doc_id, generate_subscripts(file_names, 1) AS k FROM tasks),
+        entries AS (
+            SELECT doc_id, submit_order, CASE WHEN len(file_names) = len(lang_list) THEN lang_list[k] ELSE lang_list[1] END AS entry FROM each),
+        named AS (SELECT doc_id, submit_order, {_NAMED} AS label FROM entries)
+        SELECT doc_id, arg_max(label, (submit_order, label)) FILTER (label IS NOT NULL) AS label FROM named WHERE doc_id IS NOT NULL GROUP BY doc_id""",
     "p5_found": f"SELECT DISTINCT block_id {_OVERSIZED}",
     "p5_joined": f"SELECT block_id, content {_OVERSIZED}",
     "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
