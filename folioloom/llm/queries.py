@@ -8,7 +8,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioloom.llm import bpe, canon, language, markup, mojibake, repetition, split
+from folioloom.llm import bpe, canon, language, markup, mojibake, repetition, scan, split
 from folioloom.llm.arrow import local
 from folioloom.llm.labels import LANGUAGES, SPELLINGS, normal_label
 from folioloom.llm.training import training_texts
@@ -24,6 +24,20 @@ def p8_round_trip(spark: SparkSession, root: str) -> DataFrame:
     return bpe.decode(p8_ids(spark, root))
 
 
+def p2_lines(spark: SparkSession, root: str) -> DataFrame:
+    return scan.repaired_lines(spread(read(spark, root, "spans", "doc_id", "page_idx", "span_id", "type", "content", "bbox")))
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    kinds = F.array(*[F.when(F.col(k), F.lit(k)) for k in ("furniture", "hyphen", "misread")])
+    found = p2_lines(spark, root).where("furniture OR hyphen OR misread").select("doc_id", "page_idx", "span_id", F.explode(F.array_compact(kinds)).alias("defect"))
+    return found.distinct()
+
+
+def p2_paragraphs(spark: SparkSession, root: str) -> DataFrame:
+    return scan.paragraphs(p2_lines(spark, root))
+
+
 def _judged_form(model: Broadcast) -> Callable[[], Callable[[str], str]]:
     """Texts are judged as restored and without markup: garbled text counts by its original language, markup doesn't count."""
 
@@ -158,7 +172,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_segments, p3_labels, p3_files, p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_lines, p2_paragraphs, p3_found, p3_segments, p3_labels, p3_files, p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
 
 _OVERSIZED = "FROM blocks b JOIN (SELECT type, min(max_chars) AS m FROM split_limits GROUP BY type) l ON b.type = l.type WHERE l.m >= 1 AND length(b.content) > l.m"
 
