@@ -8,11 +8,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioloom.llm import bpe, canon, language, markup, mojibake, repetition, scan, split
+from folioloom.llm import bpe, canon, language, markup, mixing, mojibake, repetition, scan, split
 from folioloom.llm.arrow import local
 from folioloom.llm.labels import LANGUAGES, SPELLINGS, normal_label
 from folioloom.llm.training import training_texts
-from folioloom.runtime import read, spread
+from folioloom.runtime import checkpointed, read, spread
 
 
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:
@@ -137,6 +137,23 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return p7_restored(spark, root).where("damaged").select("block_id").distinct()
 
 
+def _counted(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with their sizes in tokens of byte_bpe_50k and the classes they are raked by."""
+    documents = spread(read(spark, root, "documents", "doc_id", "text", "source", "lang", "file_stem"))
+    classes = documents.select("doc_id", "source", F.coalesce(normal_label(F.col("lang")), F.lit("other")).alias("lang"), mixing.topic_of(F.col("file_stem")).alias("topic"), "text")
+    # counted once: the mix needs the sizes for its cells, its steps and its draws
+    return checkpointed(bpe.count_tokens(classes, ["doc_id", "source", "lang", "topic"]))
+
+
+def p9_mix(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix(_counted(spark, root), read(spark, root, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    counted, targets = _counted(spark, root), read(spark, root, "mix_targets")
+    return mixing.shares(mixing.mix(counted, targets), counted, targets)
+
+
 #: Strata of the calibration, and the largest labelled holdout of each.
 STRATA, HOLDOUT = (*LANGUAGES, "other"), 1000
 
@@ -172,7 +189,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_lines, p2_paragraphs, p3_found, p3_segments, p3_labels, p3_files, p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p10_found, p10_share, p10_cutoffs)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_lines, p2_paragraphs, p3_found, p3_segments, p3_labels, p3_files, p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_share, p10_cutoffs)}
 
 _OVERSIZED = "FROM blocks b JOIN (SELECT type, min(max_chars) AS m FROM split_limits GROUP BY type) l ON b.type = l.type WHERE l.m >= 1 AND length(b.content) > l.m"
 
