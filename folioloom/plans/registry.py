@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioloom.plans import nested
+from folioloom.plans import nested, text
 
-_MODULES = (nested,)
+_MODULES = (nested, text)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}
