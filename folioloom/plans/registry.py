@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioloom.plans import geometry, nested, text
+from folioloom.plans import geometry, nested, sequence, text
 
-_MODULES = (nested, text, geometry)
+_MODULES = (nested, text, geometry, sequence)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,3 +39,41 @@ def checkpointed(df: DataFrame) -> DataFrame:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "folioloom-checkpoints"))
     return df.checkpoint(eager=True)
+
+
+def ordered_fold(df: DataFrame, group: list[str], order: list[str], schema: str, start: Callable[[], Callable[[tuple], Iterator[tuple]]]) -> DataFrame:
+    """A fold over the rows of each group in order, for rules whose state no window can hold.
+
+    ``start`` makes the step of a new group: it takes a row (as a tuple of the
+    columns of ``df``) and gives output rows. Rows stream through in batches of
+    the sorted partition, so a group of any size takes no more memory than its
+    state; nothing is collected per group.
+    """
+    k = [df.columns.index(c) for c in group]
+    names = [part.strip().split(" ")[0] for part in _top_level(schema)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, step = None, None
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False, name=None):
+                own = tuple(row[i] for i in k)
+                if step is None or own != at:
+                    at, step = own, start()
+                out.extend(step(row))
+            if out:
+                yield pd.DataFrame.from_records(out, columns=names)
+
+    return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(run, schema)
+
+
+def _top_level(schema: str) -> list[str]:
+    """The fields of a schema string; commas within types don't divide them."""
+    out, depth = [""], 0
+    for c in schema:
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
