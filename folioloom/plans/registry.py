@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioloom.plans import files, geometry, nested, sequence, text
+from folioloom.plans import files, geometry, nested, sequence, tables, text
 
-_MODULES = (nested, text, geometry, sequence, files)
+_MODULES = (nested, text, geometry, sequence, files, tables)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}

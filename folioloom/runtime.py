@@ -45,7 +45,8 @@ def ordered_fold(df: DataFrame, group: list[str], order: list[str], schema: str,
     """A fold over the rows of each group in order, for rules whose state no window can hold.
 
     ``start`` makes the step of a new group: it takes a row (as a tuple of the
-    columns of ``df``) and gives output rows. Rows stream through in batches of
+    columns of ``df``) and gives output rows; a step with a ``finish`` is asked
+    for its last rows when its group ends. Rows stream through in batches of
     the sorted partition, so a group of any size takes no more memory than its
     state; nothing is collected per group.
     """
@@ -54,15 +55,20 @@ def ordered_fold(df: DataFrame, group: list[str], order: list[str], schema: str,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, step = None, None
+        ended = lambda: getattr(step, "finish", list)()
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False, name=None):
                 own = tuple(row[i] for i in k)
                 if step is None or own != at:
+                    out.extend(ended())
                     at, step = own, start()
                 out.extend(step(row))
             if out:
                 yield pd.DataFrame.from_records(out, columns=names)
+        out = list(ended())
+        if out:
+            yield pd.DataFrame.from_records(out, columns=names)
 
     return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(run, schema)
 
