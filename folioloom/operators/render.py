@@ -124,8 +124,7 @@ def flatten_items(items: DataFrame, group: list[str], order: list[str]) -> DataF
     from pyspark.sql import Window
 
     w = Window.partitionBy(*group).orderBy(*order)
-    out = items
-    parent = F.lit(0)
+    out = items.withColumn("ilevel", F.greatest(F.lit(0), F.col("ilevel")))
     # for each level, how many shallower items have come: equal numbers are one run
     for level in range(9):
         out = out.withColumn(f"_s{level}", F.sum((F.col("ilevel") < level).cast("int")).over(w))

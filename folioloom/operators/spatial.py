@@ -7,11 +7,12 @@ itself; a pair that shares several bands is kept in the first of them only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioloom.functions import geometry as G
 
@@ -112,19 +113,18 @@ def merge_boxes(rows: list[tuple[int, tuple]], limit: float = 0.7) -> list[tuple
     return todo
 
 
-def per_page(df: DataFrame, page: list[str], schema: str, fold: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
-    """A fold over the boxes of each page; pages are small, so no group is large, however many a file has."""
-    return df.groupBy(*page).applyInPandas(fold, schema)
-
-
 def suppress(dets: DataFrame, page: list[str], key: str, limit: float = 0.9) -> DataFrame:
-    """Detections (key, score, x0..y1) without those a better one covers."""
+    """(page, key) of detections (key, score, x0..y1) that no better one covers.
+
+    The boxes of a page are one array, so many pages go to Python in a batch.
+    """
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        kept = keep_best([(r[key], r["score"], (r["x0"], r["y0"], r["x1"], r["y1"])) for r in g.to_dict("records")], limit)
-        return g[g[key].isin(kept)]
+    @F.pandas_udf(T.ArrayType(dets.schema[key].dataType))
+    def kept(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda boxes: keep_best([(b[key], b["score"], (b["x0"], b["y0"], b["x1"], b["y1"])) for b in boxes], limit))
 
-    return per_page(dets, page, dets.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), fold)
+    per = dets.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct(key, "score", "x0", "y0", "x1", "y1"))).alias("boxes"))
+    return per.select(*page, F.explode(kept("boxes")).alias(key))
 
 
 # ---- intervals
