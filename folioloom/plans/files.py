@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioloom.functions import geometry as G
 from folioloom.operators import route as R
 from folioloom.runtime import read
+from folioloom.streaming.pages import windows_of_pages
 
 STATUSES = ("pending", "processing", "completed", "failed")
 
@@ -90,7 +91,14 @@ def q_expired_tasks(spark: SparkSession, root: str, seconds: int = 86_400) -> Da
     return t.join(F.broadcast(now)).where(F.col("completed_at") < F.col("now") - F.expr(f"INTERVAL {seconds} SECONDS")).select("task_id", "status")
 
 
-QUERIES = {f.__name__: f for f in (q_sample_pages, q_render_ranges, q_page_signals, q_route, q_private_use, q_font_usage, q_task_stats, q_queued_ahead, q_latest_tasks, q_expired_tasks)}
+def q_page_windows(spark: SparkSession, root: str) -> DataFrame:
+    """Pages of all files, in the order of their first request, in windows of 64."""
+    first = read(spark, root, "tasks", "submit_order", "file_names").select("submit_order", F.posexplode("file_names").alias("k", "doc_id")).groupBy("doc_id").agg((F.min(F.col("submit_order") * 1000 + F.col("k"))).alias("ord"))
+    files = first.join(_counts(spark, root), "doc_id", "left").select("ord", "doc_id", F.col("pages").alias("page_count"))
+    return windows_of_pages(files)
+
+
+QUERIES = {f.__name__: f for f in (q_sample_pages, q_page_windows, q_render_ranges, q_page_signals, q_route, q_private_use, q_font_usage, q_task_stats, q_queued_ahead, q_latest_tasks, q_expired_tasks)}
 
 _N = "n AS (SELECT doc_id, max(page_idx) + 1 AS pages FROM doc_pages GROUP BY doc_id)"
 _SAMPLE = "CASE WHEN pages <= 10 THEN range(0, pages)::INT[] ELSE list_transform(range(0, 10), lambda i: round_even(i * (pages - 1) / 9, 0)::INT) END"
@@ -118,6 +126,9 @@ _PAGES = f"""{_N}, s AS (SELECT doc_id, unnest({_SAMPLE}) AS page_idx FROM n),
 _K = len(R.SCRIPTS)
 SQL = {
     "q_sample_pages": f"WITH {_N} SELECT doc_id, {_SAMPLE} AS sample FROM n",
+    "q_page_windows": f"""WITH {_N}, f AS (SELECT doc_id, min(submit_order * 1000 + k - 1) AS ord FROM (SELECT submit_order, unnest(file_names) AS doc_id, generate_subscripts(file_names, 1) AS k FROM tasks) GROUP BY doc_id),
+        j AS (SELECT doc_id, ord, coalesce(pages, 0) AS n FROM f LEFT JOIN n USING (doc_id)), s AS (SELECT *, sum(n) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) - n AS start FROM j),
+        e AS (SELECT *, unnest(CASE WHEN n > 0 THEN range(0, n) ELSE [-1] END)::INT AS page_idx FROM s) SELECT doc_id, page_idx, CASE WHEN page_idx < 0 THEN -1 ELSE (start + page_idx) // 64 END AS window_no FROM e""",
     "q_render_ranges": f"""WITH {_N}, p AS (SELECT doc_id, pages, unnest(range(0, pages))::INT AS page_idx FROM n), k AS (SELECT *, greatest(1, least(3, pages // 4)) AS parts FROM p)
         SELECT doc_id, page_idx, CASE parts WHEN 1 THEN 0 WHEN 2 THEN ntile(2) OVER w - 1 ELSE ntile(3) OVER w - 1 END AS range_no FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY page_idx)""",
     "q_page_signals": f"WITH {_PAGES} SELECT doc_id, page_idx, chars, abnormal, han, rare_han, punct, punct_run, punct_kinds, script_0 AS cyrillic FROM g",
