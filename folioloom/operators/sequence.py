@@ -85,13 +85,12 @@ def block_kinds(lines: DataFrame, block: list[str]) -> DataFrame:
     first = F.min_by("box", "line_no")
     last = F.max_by("box", "line_no")
     shape = lines.groupBy(*block).agg(
-        F.count("*").alias("n"), first.alias("f"), last.alias("l"), F.min("box.x0").alias("bx0"), F.max("box.x1").alias("bx1"), F.min("box.y0").alias("by0"), F.max("box.y1").alias("by1"), F.max("page_width").alias("pw"), F.concat_ws("", F.array_sort(F.collect_list(F.struct("line_no", "text")))["text"]).alias("all")
+        F.count("*").alias("n"), first.alias("f"), last.alias("l"), F.min("box.x0").alias("bx0"), F.max("box.x1").alias("bx1"), F.min("box.y0").alias("by0"), F.max("box.y1").alias("by1"), F.max("page_width").alias("pw"), (F.sum(F.length(F.regexp_replace("text", "[^\\u3040-\\u30ff\\u4e00-\\u9fff\\uac00-\\ud7af]", ""))) * 2 > F.sum(F.length("text"))).alias("chinese")
     )
-    j = lines.join(shape.select(*block, (F.col("f.y1") - F.col("f.y0")).alias("h"), "bx0", "bx1", "pw", "all"), block)
+    j = lines.join(shape.select(*block, (F.col("f.y1") - F.col("f.y0")).alias("h"), "bx0", "bx1", "pw", "chinese"), block)
     h, left, right = F.col("h"), F.col("box.x0") - F.col("bx0"), F.col("bx1") - F.col("box.x1")
-    chinese = F.length(F.regexp_replace("all", "[^\\u3040-\\u30ff\\u4e00-\\u9fff\\uac00-\\ud7af]", "")) * 2 > F.length("all")
     width = F.col("bx1") - F.col("bx0")
-    ragged = F.when(chinese | (F.coalesce(width / F.nullif(F.col("pw"), F.lit(0.0)), F.lit(0.0)) >= 0.5), 0.26).otherwise(0.36) * width
+    ragged = F.when(F.col("chinese") | (F.coalesce(width / F.nullif(F.col("pw"), F.lit(0.0)), F.lit(0.0)) >= 0.5), 0.26).otherwise(0.36) * width
     t = F.trim("text")
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
     facts = j.groupBy(*block).agg(

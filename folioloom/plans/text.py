@@ -100,16 +100,15 @@ def q_suffixes(spark: SparkSession, root: str) -> DataFrame:
 def q_content_joined(spark: SparkSession, root: str) -> DataFrame:
     """Lines of a scanned page as one text: letters broken by a hyphen join, Chinese lines touch, others get a blank."""
     s = read(spark, root, "spans", *_LINE, "type", "content").where("type = 'text' AND trim(content) <> ''").distinct()
-    piece = F.struct("span_id", F.trim(X.full_to_half_alnum(F.col("content"))).alias("t"))
-    page = s.groupBy("doc_id", "page_idx").agg(F.array_sort(F.collect_list(piece)).alias("l"))
+    s = s.select("doc_id", "page_idx", "span_id", F.trim(X.full_to_half_alnum(F.col("content"))).alias("t"))
+    han = F.sum(F.length(F.regexp_replace("t", "[^\\u4e00-\\u9fff]", "")))
+    page = s.groupBy("doc_id", "page_idx").agg(F.array_sort(F.collect_list(F.struct("span_id", "t"))).alias("l"), (han * 2 > F.sum(F.length("t"))).alias("chinese"))
     # each line with the first character of the next, null for the last
     pairs = F.transform("l", lambda x, i: F.struct(x["t"].alias("t"), F.substring(F.get("l", i + 1)["t"], 1, 1).alias("n"), (i + 1 == F.size("l")).alias("last")))
-    chinese = F.length(F.regexp_replace(F.array_join(F.col("l.t"), ""), "[^\\u4e00-\\u9fff]", "")) * 2 > F.length(F.array_join(F.col("l.t"), ""))
-
     def joined(x: Column) -> Column:
         broken = X.hyphen_at_line_end(x["t"])
         lower = F.coalesce(x["n"].rlike("^\\p{Ll}"), F.lit(False))
-        return F.when(x["last"] | chinese, x["t"]).when(broken & lower, F.regexp_replace(x["t"], ".$", "")).when(broken, x["t"]).otherwise(F.concat(x["t"], F.lit(" ")))
+        return F.when(x["last"] | F.col("chinese"), x["t"]).when(broken & lower, F.regexp_replace(x["t"], ".$", "")).when(broken, x["t"]).otherwise(F.concat(x["t"], F.lit(" ")))
 
     return page.select("doc_id", "page_idx", F.array_join(F.transform(pairs, joined), "").alias("text"))
 
