@@ -39,11 +39,11 @@ def p2_paragraphs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _judged_form(model: Broadcast) -> Callable[[], Callable[[str], str]]:
-    """Texts are judged as restored and without markup: garbled text counts by its original language, markup doesn't count."""
+    """Texts are judged as restored, without markup and in one form: garbled text counts by its original language, markup and odd letters don't count."""
 
     def prepare() -> Callable[[str], str]:
         repair = local(model, mojibake.Repair)
-        return lambda text: markup.convert(repair(text).text)[0] or ""
+        return lambda text: canon.canonical(markup.convert(repair(text).text)[0]) or ""
 
     return prepare
 
