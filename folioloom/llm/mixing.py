@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 #: Cells at most that are fitted on the driver.
 MOST_CELLS = 200_000
+#: Topics with a smaller share of the tokens count as one.
+TOPIC_SHARE = 1e-3
 #: Rounds of fitting, and the largest relative error of a marginal at which it ends earlier.
 ROUNDS, CLOSE = 200, 1e-9
 #: Steps of the hash within a cell; the last step is drawn by chance.
@@ -92,6 +94,14 @@ def topic_of(file_stem: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_replace(file_stem, r"[-_. ]*\d*$", ""), F.lit("")), F.lit("other"))
 
 
+def _main_topics(usable: DataFrame) -> Column:
+    """The topic where it has at least its share of all tokens, so that there are at most 1 / TOPIC_SHARE of them, else "other"."""
+    per = usable.groupBy("topic").agg(F.sum("n_tokens").alias("n"))
+    total = per.agg(F.sum("n")).first()[0] or 0
+    main = [r.topic for r in per.where(F.col("n") >= total * TOPIC_SHARE).collect()]
+    return F.when(F.col("topic").isin(main), F.col("topic")).otherwise(F.lit("other"))
+
+
 def mix(counted: DataFrame, targets: DataFrame) -> DataFrame:
     """(doc_id, source, n_tokens, copies >= 1) of the mix.
 
@@ -101,6 +111,7 @@ def mix(counted: DataFrame, targets: DataFrame) -> DataFrame:
     wanted = targets.where("source IS NOT NULL AND target_share > 0 AND max_repeats >= 1").withColumn("_n", F.row_number().over(first)).where("_n = 1")
     goals = {r.source: (r.target_share, r.max_repeats) for r in wanted.select("source", "target_share", "max_repeats").collect()}
     usable = counted.where(F.col("source").isin(list(goals)) & (F.col("n_tokens") > 0))
+    usable = usable.withColumn("topic", _main_topics(usable))
     sums = usable.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"))
     cells = sums.limit(MOST_CELLS + 1).collect()
     if len(cells) > MOST_CELLS:
