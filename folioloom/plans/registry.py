@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioloom.plans import files, geometry, layout, merge, nested, order, render, sequence, tables, text
+from folioloom.plans import files, geometry, inline, layout, merge, nested, order, render, sequence, tables, text
 
-_MODULES = (nested, text, geometry, sequence, files, tables, render, order, layout, merge)
+_MODULES = (nested, text, geometry, sequence, files, tables, render, order, layout, merge, inline)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}
