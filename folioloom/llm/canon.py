@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -36,6 +36,8 @@ AS_CYRILLIC = "aeopcyxijshdqwABEKMHOPCTYXIJSHGQW"
 GREEK = "ονΑΒΕΖΗΙΚΜΝΟΡΤΥΧ"
 AS_GREEK = "ovABEZHIKMNOPTYX"
 
+_LOOK_ALIKE = re.compile(f"[{CYRILLIC}{GREEK}]")
+
 # Radicals without a compatibility form, and the same character as an ideograph.
 RADICALS = "⺁⺂⺃⺅⺆⺈⺉⺊⺌⺍⺎⺏⺐⺒⺓⺔⺖⺘⺙⺛⺜⺝⺞⺠⺡⺢⺣⺥⺦⺨⺩⺫⺬⺭⺮⺯⺰⺱⺲⺶⺹⺺⺻⺽⺾⺿⻀⻁⻂⻃⻄⻅⻆⻈⻉⻊⻋⻌⻍⻎⻏⻐⻑⻒⻓⻔⻖⻗⻘⻙⻚⻛⻜⻝⻟⻠⻢⻣⻤⻥⻦⻧⻨⻩⻪⻫⻬⻭⻮⻯⻰⻱⻲"
 IDEOGRAPHS = "厂乛乚亻冂刀刂卜小小尢尣尢巳幺彑忄扌攵旡日月歹民氵氺灬爫丬犭王目示礻竹糹纟罓罒羊耂肀聿臼艹艹艹虎衤覀西见角讠贝足车辶辶辶阝钅長镸长门阝雨青韦页风飞食飠饣马骨鬼鱼鸟卤麦黄黾斉齐歯齿竜龙龜亀"
@@ -110,7 +112,7 @@ def _script(c: str) -> str:
     return "G" if c < "Ѐ" or "ἀ" <= c <= "῿" else "C" if c < "԰" else ""
 
 
-def _one_script(word: str, context: str) -> str:
+def _one_script(word: str, context: Callable[[], str]) -> str:
     """Look-alikes of a decomposed stretch, brought into the script of its unambiguous letters.
 
     A stretch without any takes the script of the text around it; where that
@@ -122,7 +124,8 @@ def _one_script(word: str, context: str) -> str:
         return word
     sure = {_script(c) for c in word if c not in latin and c not in cyrillic} - {""}
     if not sure:
-        sure = {context} if context else scripts if len(scripts) == 1 else {"L"}
+        around = context()
+        sure = {around} if around else scripts if len(scripts) == 1 else {"L"}
     if sure == {"C"}:
         return "".join(cyrillic.get(c, c) for c in word)
     if sure == {"L"}:
@@ -150,24 +153,38 @@ def canonical(text: str | None) -> str | None:
             context.append("C" if sure == {"C"} and not plain else "L" if plain and not sure else "")
         return context[0]
 
-    def fix(m: re.Match) -> str:
-        s = m.group()
-        if not quick.search(s):
+    def fix(s: str) -> str:
+        if _CYRILLIC_WORD.fullmatch(s):
             return s
         for joiner in _ZERO_WIDTH_JOINERS:
             if joiner in s and _JOINING.search(s):
                 s = re.sub(f"(?<={_JOINING.pattern}){joiner}(?={_JOINING.pattern})", chr(0xF0000 + ord(joiner)), s)
         emoji = "️" in s and bool(_JOINING.search(s))
         s = unicodedata.normalize("NFD", s.translate(change if not emoji else {k: v for k, v in change.items() if k != 0xFE0F}))
-        s = _WORDS.sub(lambda w: _one_script(w.group(), around()), s)
+        if _LOOK_ALIKE.search(s):
+            s = _WORDS.sub(lambda w: _one_script(w.group(), around), s)
         s = unicodedata.normalize("NFC", s)
         return s.replace(chr(0xF0000 + 0x200C), "‌").replace(chr(0xF0000 + 0x200D), "‍")
 
-    return _STRETCH.sub(fix, text)
+    out, last = [], 0
+    for m in quick.finditer(text):
+        a = m.start()
+        if a < last:
+            continue
+        while a > last and text[a - 1] not in _BLANKS:
+            a -= 1
+        after = _BLANK.search(text, m.end())
+        b = after.start() if after else len(text)
+        out += [text[last:a], fix(text[a:b])]
+        last = b
+    return "".join([*out, text[last:]])
 
 
-#: Stretches between plain blanks and line ends; other blanks are part of what changes.
-_STRETCH = re.compile(r"[^ \t\r\n]+")
+#: What ends a stretch; other blanks are part of what changes.
+_BLANKS = " \t\r\n"
+_BLANK = re.compile(r"[ \t\r\n]")
+#: Plain words of one script with a letter that no other has: nothing in them changes.
+_CYRILLIC_WORD = re.compile("[«(„]?[а-яёА-ЯЁ]*[бвгджзийклмнптфцчшщъыьэюяБГДЖЗИЙЛПФЦЧШЩЪЫЬЭЮЯёЁ][а-яёА-ЯЁ]*[-.,;:!?»)]*")
 
 _KEY = str.maketrans({**{c: "-" for c in DASHES}, **{c: "'" for c in APOSTROPHES}, "\t": " ", "\n": " ", "\r": " "})
 
@@ -178,7 +195,7 @@ def key(text: str | None) -> str | None:
     if c is None:
         return None
     c = c.translate(_KEY).strip()
-    if c.isascii():
+    if c.isascii() or not _LOOK_ALIKE.search(c):
         return c
     _, _, latin, _ = tables()
     c = unicodedata.normalize("NFD", c)
