@@ -88,10 +88,11 @@ def _smaller_share(a: tuple, b: tuple) -> float:
 def keep_best(rows: list[tuple[int, float, tuple]], limit: float = 0.9) -> list[int]:
     """Keys that stay when, by falling score, each box drops the later ones it overlaps more than the limit."""
     kept: list[tuple[int, tuple]] = []
-    for key, _, box in sorted(rows, key=lambda r: (-r[1], r[0])):
+    first = lambda k: (k is None, k or 0)
+    for key, _, box in sorted(rows, key=lambda r: (-r[1], first(r[0]))):
         if all(_iou(box, other) <= limit for _, other in kept):
             kept.append((key, box))
-    return sorted(k for k, _ in kept)
+    return sorted((k for k, _ in kept), key=first)
 
 
 def merge_boxes(rows: list[tuple[int, tuple]], limit: float = 0.7) -> list[tuple[int, tuple]]:
