@@ -92,7 +92,7 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
-    return split.split_blocks(read(spark, root, "blocks", "block_id", "type", "content"), read(spark, root, "split_limits"))
+    return split.split_blocks(spread(read(spark, root, "blocks", "block_id", "type", "content")), read(spark, root, "split_limits"))
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
