@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioloom.llm import bpe, canon, language, markup, mixing, mojibake, repetition, scan, split
@@ -48,14 +48,15 @@ def _judged_form(model: Broadcast) -> Callable[[], Callable[[str], str]]:
     return prepare
 
 
-def _segments(spark: SparkSession, root: str, least: int) -> DataFrame:
+def _segments(spark: SparkSession, root: str, chosen: Column) -> DataFrame:
     filters = spark.sparkContext.broadcast(language.fit(training_texts(read(spark, root, "documents", "doc_id", "text", "lang"))))
-    blocks = spread(read(spark, root, "blocks", "block_id", "doc_id", "type", "content")).where((F.col("type") == "text") & (F.length("content") >= least))
-    return language.segment_texts(blocks, filters, ["block_id", "doc_id"], prepare=_judged_form(_encoding_model(spark, root)))
+    blocks = spread(read(spark, root, "blocks", "block_id", "doc_id", "type", "content")).where(chosen)
+    return language.segment_texts(blocks, filters, ["block_id", "doc_id", "type"], prepare=_judged_form(_encoding_model(spark, root)))
 
 
 def p3_segments(spark: SparkSession, root: str) -> DataFrame:
-    return _segments(spark, root, 1).drop("doc_id")
+    """The languages of every block with content, whatever its type; content too short to tell gives no row."""
+    return _segments(spark, root, F.length("content") >= 1).drop("doc_id", "type")
 
 
 def p3_labels(spark: SparkSession, root: str) -> DataFrame:
@@ -63,18 +64,26 @@ def p3_labels(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
-    spoken = _segments(spark, root, 60).where("sentences > 0").select("block_id", "doc_id", "lang").distinct()
+    spoken = _segments(spark, root, (F.col("type") == "text") & (F.length("content") >= 60)).where("sentences > 0").select("block_id", "doc_id", "lang").distinct()
     other = ~F.col("lang").eqNullSafe(F.col("label"))
     return spoken.join(p3_labels(spark, root), "doc_id", "left").where(other).select("block_id", "lang").distinct()
 
 
+#: Types of blocks whose words needn't be in the language of their file.
+NO_PROSE = ("code", "interline_equation", "ref_text")
+
+
 def p3_files(spark: SparkSession, root: str) -> DataFrame:
     """Each file with its label, the language most of its letters are in, their share, and the language to use.
 
-    The label stays where it names the language of at least a third of the
-    letters, or where the file has no text to judge.
+    Every block with content is judged; code, formulas and references, whose
+    words aren't the file's own, only count where nothing else tells. The label
+    stays where it names the language of at least a third of the letters, or
+    where the file has no text to judge.
     """
-    letters = _segments(spark, root, 1).groupBy("doc_id", "lang").agg(F.sum("letters").alias("n"), (F.sum(F.col("confidence") * F.col("letters")) / F.sum("letters")).alias("c"))
+    prose = ~F.coalesce(F.col("type"), F.lit("")).isin(*NO_PROSE)
+    counted = _segments(spark, root, F.length("content") >= 1).groupBy("doc_id", prose.alias("prose"), "lang").agg(F.sum("letters").alias("n"), (F.sum(F.col("confidence") * F.col("letters")) / F.sum("letters")).alias("c"))
+    letters = counted.withColumn("any", F.max("prose").over(Window.partitionBy("doc_id"))).where(F.col("prose") == F.col("any"))
     share = (F.col("n") / F.sum("n").over(Window.partitionBy("doc_id"))).alias("share")
     shares = letters.select("doc_id", "lang", share, "c").groupBy("doc_id").agg(F.max(F.struct("share", "lang", "c")).alias("top"), F.map_from_entries(F.collect_list(F.struct("lang", "share"))).alias("all"))
     joined = p3_labels(spark, root).join(shares, "doc_id", "left")
