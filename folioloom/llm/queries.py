@@ -24,13 +24,17 @@ def p8_round_trip(spark: SparkSession, root: str) -> DataFrame:
     return bpe.decode(p8_ids(spark, root))
 
 
+def _spans(spark: SparkSession, root: str) -> DataFrame:
+    return spread(read(spark, root, "spans", "doc_id", "page_idx", "span_id", "type", "content", "bbox"))
+
+
 def p2_lines(spark: SparkSession, root: str) -> DataFrame:
-    return scan.repaired_lines(spread(read(spark, root, "spans", "doc_id", "page_idx", "span_id", "type", "content", "bbox")))
+    return scan.body_and_furniture(_spans(spark, root))
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     kinds = F.array(*[F.when(F.col(k), F.lit(k)) for k in ("furniture", "hyphen", "misread")])
-    found = p2_lines(spark, root).where("furniture OR hyphen OR misread").select("doc_id", "page_idx", "span_id", F.explode(F.array_compact(kinds)).alias("defect"))
+    found = scan.repaired_lines(_spans(spark, root)).where("furniture OR hyphen OR misread").select("doc_id", "page_idx", "span_id", F.explode(F.array_compact(kinds)).alias("defect"))
     return found.distinct()
 
 
