@@ -43,7 +43,9 @@ _CODE = {"pre", "listing", "xmp", "plaintext"}
 TAGS = _BLOCK | _INLINE | _VOID | _TABLE | _LIST | set(_HEAD) | _SKIP | _CODE
 
 # Commands of LaTeX that stand without an argument, and what is left of those with one.
-_BARE = "item hline toprule midrule bottomrule newpage clearpage pagebreak noindent maketitle tableofcontents centering par newline linebreak medskip bigskip smallskip hfill vfill ldots dots quad qquad appendix alpha beta gamma delta lambda mu pi sigma omega sum prod int infty cdot times leq geq neq pm approx".split()
+_BARE = "item hline toprule midrule bottomrule newpage clearpage pagebreak noindent maketitle tableofcontents centering par newline linebreak medskip bigskip smallskip hfill vfill ldots dots quad qquad appendix".split()
+# Commands that are a sign, and the sign.
+_SIGNS = dict(zip("alpha beta gamma delta lambda mu pi sigma omega sum prod int infty cdot times leq geq neq pm approx".split(), "αβγδλμπσω∑∏∫∞·×≤≥≠±≈", strict=True))
 _HEADINGS = {"part": 1, "chapter": 1, "section": 1, "subsection": 2, "subsubsection": 3, "paragraph": 4, "subparagraph": 5}
 _KEEP_ARGUMENT = "textbf textit texttt textsc textrm textsf textsl textup textmd emph underline uline mbox text title author caption mathrm mathbf sout footnotesize textsuperscript textsubscript enquote".split()
 _DROP = "cite citep citet parencite autocite ref eqref autoref cref pageref label footnote footnotemark thanks vspace hspace bibliographystyle bibliography includegraphics usepackage documentclass index input include nocite".split()
@@ -254,6 +256,7 @@ _DROPPED = re.compile(r"[ ~]?\\(?:" + "|".join(_DROP) + r")\*?(?:\[[^\]\n]*\])*"
 _HREF = re.compile(r"\\href" + _ARGUMENT + _ARGUMENT + r"|\\url" + _ARGUMENT)
 _OTHER_COMMAND = re.compile(r"(?<![A-Za-z:\\])\\[A-Za-z]{2,}\*?" + _OPTION + _ARGUMENT)
 _BARE_COMMAND = re.compile(r"(?<![\w:\\])\\(?:" + "|".join(_BARE) + r")\b(?!\\)[ ]?")
+_SIGN_COMMAND = re.compile(r"(?<![\w:\\])\\(" + "|".join(_SIGNS) + r")\b(?!\\)")
 _LATEX_ESCAPE = re.compile(r"\\([%&$#_{}])")
 
 
@@ -290,6 +293,7 @@ def _latex(w: _Work) -> None:
     w.sub("latex", _BEGIN_END, "")
     w.sub("latex", _OTHER_COMMAND, r"\1")
     w.sub("latex", _BARE_COMMAND, lambda m: {"item": "- ", "par": "\n\n", "newline": "\n", "ldots": "…", "dots": "…"}.get(m.group().strip().lstrip("\\"), ""))
+    w.sub("latex", _SIGN_COMMAND, lambda m: _SIGNS[m.group(1)])
     w.sub("latex", _LATEX_ESCAPE, r"\1")
     if any(k.startswith("latex") for k in w.kinds):
         w.text = re.sub(r"(?<=\S)~(?=\S)", " ", w.text).replace("\\\\\n", "\n")
@@ -516,10 +520,15 @@ def extract(html: str, path: str | None) -> str:
     return part if part.strip() else html
 
 
+#: Types of blocks whose content is no prose: it is kept as it is.
+VERBATIM = ("code", "interline_equation")
+
+
 def clean_fields(blocks: DataFrame, id_col: str = "block_id", host_col: str = "doc_id", fields: tuple[str, ...] = ("content", "html"), keep: tuple[str, ...] = ("type",)) -> DataFrame:
     """(id, kept columns, field_name, clean, kinds) of each field that isn't null; rows are as many as such fields.
 
-    Paths are voted for in one pass over the markup fields and joined back on
+    The content of code and formulas comes back unchanged, and no markup is
+    looked for in it. Paths are voted for in one pass over the markup fields and joined back on
     the host; a row per host is small beside its pages, and a hot host's pages
     are spread by AQE's skew join or by broadcast of the measured side.
     """
@@ -537,8 +546,13 @@ def clean_fields(blocks: DataFrame, id_col: str = "block_id", host_col: str = "d
         [T.StructField(id_col, blocks.schema[id_col].dataType), *[T.StructField(c, blocks.schema[c].dataType) for c in keep], T.StructField("field_name", T.StringType()), T.StructField("clean", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType(), False))]
     )
 
+    kind = keep.index("type") if "type" in keep else None
+
     def rows(columns: list[list]) -> Iterator[tuple]:
         for i, *kept, name, text, path in zip(*columns, strict=True):
+            if name == "content" and kind is not None and kept[kind] in VERBATIM:
+                yield i, *kept, name, text, []
+                continue
             clean, kinds = convert(extract(text, path))
             if path and not kinds:
                 kinds = ["html"]

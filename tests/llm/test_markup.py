@@ -96,3 +96,17 @@ def test_host_paths_vote_and_extract(spark):
     assert all("Home" not in out[i, "html"][0] and "small print" not in out[i, "html"][0] and "real content" in out[i, "html"][0] for i in range(30))
     assert out[100, "content"] == ("x y", ["markdown"]) and out[101, "html"] == ("frag", ["html"]) and out[102, "content"] == ("", [])
     assert M.clean_fields(df.limit(0)).count() == 0
+
+
+def test_code_and_formulas_are_kept(spark):
+    formula, code = "\\frac { T } { 75 } - \\lambda ^ { 2 }", 'def f(x):\n    print("<b>21</b>")\n    return `x` * *y*  # **no** markup\n'
+    rows = [(1, "d", "interline_equation", formula, None), (2, "d", "code", code, "<b>x</b>"), (3, "d", "code", None, None), (4, "d", "text", code, None)]
+    df = spark.createDataFrame(rows, "block_id long, doc_id string, type string, content string, html string")
+    out = {(r.block_id, r.field_name): (r.clean, r.kinds) for r in M.clean_fields(df).collect()}
+    assert out.pop((4, "content"))[1]
+    assert out == {(1, "content"): (formula, []), (2, "content"): (code, []), (2, "html"): ("x", ["html"])}
+
+
+def test_signs_of_latex_are_kept():
+    assert M.convert("the mean \\lambda of 5 \\times 3") == ("the mean λ of 5 × 3", ["latex"])
+    assert M.convert("\\section{Head}\nup to \\alpha \\leq \\infty.")[0] == "# Head\nup to α ≤ ∞."
