@@ -57,9 +57,8 @@ def q_formulas(spark: SparkSession, root: str) -> DataFrame:
     return read(spark, root, "blocks", "block_id", "type", "content").where("type = 'interline_equation'").select("block_id", repaired("content").alias("latex"))
 
 
-def q_dedup_chars(spark: SparkSession, root: str) -> DataFrame:
-    """Characters of text blocks, every seventh drawn twice, without the second ones."""
-    b = read(spark, root, "blocks", "block_id", "type", "content").where("type = 'title' AND content IS NOT NULL")
+def _deduplicated(b: DataFrame) -> DataFrame:
+    """Characters of blocks, every seventh drawn twice, without the second ones."""
     each = b.select("block_id", F.posexplode(F.split("content", "")).alias("k", "char")).where("char <> ''")
     place = lambda d: [(F.col("k") * 6.0 + d).alias("x0"), F.lit(100.0 + d).alias("y0"), (F.col("k") * 6.0 + 5.0 + d).alias("x1"), F.lit(110.0 + d).alias("y1")]
     first = each.select("block_id", (F.col("k") * 2).alias("char_idx"), "char", *place(0.0))
@@ -67,7 +66,17 @@ def q_dedup_chars(spark: SparkSession, root: str) -> DataFrame:
     return C.distinct_characters(first.unionByName(again), ["block_id"])
 
 
-QUERIES = {f.__name__: f for f in (q_xycut, q_row_order, q_bin_pack, q_unique_stems, q_formulas, q_dedup_chars)}
+def q_dedup_chars(spark: SparkSession, root: str) -> DataFrame:
+    """Characters of titles, whose SQL is fast enough to be checked against; all blocks: q_dedup_chars_all."""
+    return _deduplicated(read(spark, root, "blocks", "block_id", "type", "content").where("type = 'title' AND content IS NOT NULL"))
+
+
+def q_dedup_chars_all(spark: SparkSession, root: str) -> DataFrame:
+    """Characters of all blocks."""
+    return _deduplicated(read(spark, root, "blocks", "block_id", "content").where("content IS NOT NULL"))
+
+
+QUERIES = {f.__name__: f for f in (q_xycut, q_row_order, q_bin_pack, q_unique_stems, q_formulas, q_dedup_chars, q_dedup_chars_all)}
 
 SQL = {
     # characters come back as they were before every seventh was drawn again

@@ -8,6 +8,7 @@ from folioloom.operators import characters as C
 from folioloom.operators import latex as L
 from folioloom.operators import order as O
 from folioloom.operators.sequence import SectionNumbers
+from folioloom.plans import order as P
 
 
 def test_xy_order_of_two_columns():
@@ -100,3 +101,11 @@ def test_formulas():
 def test_section_numbers(spark):
     n = SectionNumbers()
     assert [n(*x) for x in [(1, True, None), (2, True, None), (2, True, None), (1, True, None), (3, True, None), (2, False, None), (2, False, [4, 7]), (2, True, None), (0, True, None)]] == ["1", "1.1", "1.2", "2", "2.1.1", None, None, "4.8", None]
+
+
+def test_characters_of_all_blocks(spark, tmp_path):
+    texts = ["aa bb\n", "the long content of a block " * 200, "é\U0001d44b漢", "", None, "title"]
+    kinds = ["text", "list", None, "code", "text", "title"]
+    spark.createDataFrame(list(zip(range(6), kinds, texts, strict=True)), "block_id long, type string, content string").write.parquet(f"{tmp_path}/blocks.parquet")
+    got = sorted(map(tuple, P.q_dedup_chars_all(spark, str(tmp_path)).collect()))
+    assert got == [(i, 2 * k, c, 6.0 * k, 100.0, 6.0 * k + 5, 110.0) for i, t in enumerate(texts) for k, c in enumerate(t or "")]
