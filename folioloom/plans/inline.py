@@ -17,17 +17,27 @@ def q_inline_spans(spark: SparkSession, root: str) -> DataFrame:
     return each.select("block_id", "span_no", "s.type", "s.content", F.array_join("s.style", ",").alias("style"))
 
 
-def q_clean_tables(spark: SparkSession, root: str) -> DataFrame:
-    """Tables that were given looks, without them again."""
+def _without_looks(b: DataFrame) -> DataFrame:
+    """Table markup that was given looks, without them again."""
     h = F.regexp_replace("html", "<td>", "<TD class='c' STYLE=\"width: 3px\" nowrap>")
-    return read(spark, root, "blocks", "block_id", "html").where("html LIKE '<%' AND html LIKE '%</table>%'").select("block_id", I.cleaned_tables(h).alias("html"))
+    return b.select("block_id", I.cleaned_tables(h).alias("html"))
+
+
+def q_clean_tables(spark: SparkSession, root: str) -> DataFrame:
+    """Whole tables, which come back as the SQL has them; truncated and mixed ones too: q_clean_tables_all."""
+    return _without_looks(read(spark, root, "blocks", "block_id", "html").where("html LIKE '<%' AND html LIKE '%</table>%'"))
+
+
+def q_clean_tables_all(spark: SparkSession, root: str) -> DataFrame:
+    """Every table field, truncated or with text around the table."""
+    return _without_looks(read(spark, root, "blocks", "block_id", "html").where("html IS NOT NULL"))
 
 
 def q_code_language(spark: SparkSession, root: str) -> DataFrame:
     return read(spark, root, "blocks", "block_id", "type", "content").where("type = 'code'").select("block_id", I.code_language(F.col("content")).alias("language"))
 
 
-QUERIES = {f.__name__: f for f in (q_inline_spans, q_clean_tables, q_code_language)}
+QUERIES = {f.__name__: f for f in (q_inline_spans, q_clean_tables, q_clean_tables_all, q_code_language)}
 
 SQL = {
     "q_inline_spans": """WITH b AS (SELECT block_id, regexp_extract(content, '^([A-Za-z]+) ([A-Za-z0-9]+) (.*)', ['w', 'f', 'r'], 's') AS p, content FROM blocks WHERE type IN ('table_caption', 'image_caption') AND regexp_matches(content, '^[A-Za-z]+ [A-Za-z0-9]+ '))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioloom.operators import inline as I
+from folioloom.plans import inline as P
 
 
 def test_spans():
@@ -34,3 +35,18 @@ def test_clean_table(html, clean):
 def test_code_languages(spark):
     rows = [("def f(x):\n    return self.x",), ("#include <a.h>\nint main() {}",), ("run --x | sort > $(y)",), ("SELECT a FROM b",), ("lorem ipsum",), (None,)]
     assert [r[0] for r in spark.createDataFrame(rows, "c string").select(I.code_language(F.col("c"))).collect()] == ["python", "c", "bash", "sql", "txt", None]
+
+
+def test_every_table_field_is_cleaned(spark, tmp_path):
+    fields = {
+        "<table><tr><td>a</td><td>b": "<table><tr><td>a</td><td>b",
+        '<table border="1"><tr><td>a</td><td colspan="2" cla': '<table><tr><td>a</td><td colspan="2" cla',
+        "Table 1 <table id=x><tr><td>3 < 5</td></tr></table> note": "Table 1 <table><tr><td>3 < 5</td></tr></table> note",
+        "<tr><td>a</td></tr></table>": "<tr><td>a</td></tr></table>",
+        "<table><tr><td>a</td></tr></table>": "<table><tr><td>a</td></tr></table>",
+        "no markup": "no markup",
+        "": "",
+        None: None,
+    }
+    spark.createDataFrame(list(enumerate(fields)), "block_id long, html string").write.parquet(f"{tmp_path}/blocks.parquet")
+    assert sorted(map(tuple, P.q_clean_tables_all(spark, str(tmp_path)).collect())) == [(i, v) for i, v in enumerate(fields.values()) if v is not None]
