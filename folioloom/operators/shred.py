@@ -19,14 +19,18 @@ all its ancestors, which is its link to the parent row.
 Defined results: a null payload or one that isn't valid JSON gives no rows; a
 JSON string that holds JSON counts as that JSON; a single object in place of a
 list is a list of one; null entries and entries that aren't objects take a
-position but give no row. Repeated input rows give repeated output rows.
+position but give no row. Repeated input rows give repeated output rows. Nesting
+may be of any depth: what the recursive reader can't hold is read with a stack.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from json.decoder import scanstring
+from json.scanner import NUMBER_RE
 
 import numpy as np
 import pyarrow as pa
@@ -142,15 +146,112 @@ def _leads_to(grammar: Grammar, wanted: frozenset[str] | None) -> set[str]:
     return leads
 
 
+_BLANK = re.compile(r"[ \t\n\r]*")
+_CONSTANTS = {"null": None, "true": True, "false": False, "NaN": float("nan"), "Infinity": float("inf"), "-Infinity": float("-inf")}
+_CONSTANT = re.compile("|".join(_CONSTANTS))
+
+
+def _scalar(text: str, at: int) -> tuple[object, int]:
+    """A string, number or constant and the position behind it."""
+    if text[at : at + 1] == '"':
+        return scanstring(text, at + 1)
+    if m := _CONSTANT.match(text, at):
+        return _CONSTANTS[m.group()], m.end()
+    if m := NUMBER_RE.match(text, at):
+        whole, fraction, exponent = m.groups()
+        return (float(m.group()) if fraction or exponent else int(whole)), m.end()
+    raise ValueError(f"no value at {at}")
+
+
+def _loads(text: str) -> object:
+    """``json.loads`` for any depth of nesting."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        pass
+    skip = lambda i: _BLANK.match(text, i).end()
+
+    def key(i: int) -> tuple[str, int]:
+        if text[i : i + 1] != '"':
+            raise ValueError(f"no key at {i}")
+        name, i = scanstring(text, i + 1)
+        i = skip(i)
+        if text[i : i + 1] != ":":
+            raise ValueError(f"no colon at {i}")
+        return name, skip(i + 1)
+
+    open_: list[tuple[list | dict, str | None]] = []
+    at = skip(0)
+    while True:
+        first = text[at : at + 1]
+        if first in ("{", "["):
+            value: object = {} if first == "{" else []
+            at = skip(at + 1)
+            if text[at : at + 1] != ("}" if first == "{" else "]"):
+                name = None
+                if first == "{":
+                    name, at = key(at)
+                open_.append((value, name))
+                continue
+            at += 1
+        else:
+            value, at = _scalar(text, at)
+        while True:
+            at = skip(at)
+            if not open_:
+                if at != len(text):
+                    raise ValueError(f"more at {at}")
+                return value
+            parent, name = open_[-1]
+            many = isinstance(parent, list)
+            if many:
+                parent.append(value)
+            else:
+                parent[name] = value
+            end = text[at : at + 1]
+            if end == ",":
+                at = skip(at + 1)
+                if not many:
+                    name, at = key(at)
+                    open_[-1] = parent, name
+                break
+            if end != ("]" if many else "}"):
+                raise ValueError(f"not closed at {at}")
+            open_.pop()
+            value, at = parent, at + 1
+
+
+def _dumps(value: object) -> str:
+    """``json.dumps`` for any depth of nesting."""
+    try:
+        return json.dumps(value, ensure_ascii=False)
+    except RecursionError:
+        pass
+    out, todo = [], [(value, False)]
+    while todo:
+        v, raw = todo.pop()
+        if raw:
+            out.append(v)
+        elif v and isinstance(v, (list, dict)):
+            entries = [("", x) for x in v] if isinstance(v, list) else [(json.dumps(k, ensure_ascii=False) + ": ", x) for k, x in v.items()]
+            parts = [(("[" if isinstance(v, list) else "{"), True)]
+            for i, (label, x) in enumerate(entries):
+                parts += [(", " * bool(i) + label, True), (x, False)]
+            todo += reversed([*parts, (("]" if isinstance(v, list) else "}"), True)])
+        else:
+            out.append(json.dumps(v, ensure_ascii=False))
+    return "".join(out)
+
+
 def read_payload(text: str | None) -> dict | None:
     """The record of a payload as ``{"pages": ...}``; None where there is no readable object."""
     if text is None:
         return None
     try:
-        value = json.loads(text)
+        value = _loads(text)
         while isinstance(value, str):
-            value = json.loads(value)
-    except (ValueError, RecursionError):
+            value = _loads(value)
+    except ValueError:
         return None
     if not isinstance(value, dict):
         return None
@@ -185,7 +286,7 @@ def _text(value: object) -> str | None:
     if value is None:
         return None
     if not isinstance(value, str):
-        value = json.dumps(value, ensure_ascii=False)
+        value = _dumps(value)
     try:
         value.encode()
         return value

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from folioloom.operators.shred import PARSED_PAGES, flatten, level_columns, shred
+from folioloom.operators.shred import PARSED_PAGES, _dumps, _loads, flatten, level_columns, shred
 
 
 def walk(payload):
@@ -74,6 +74,46 @@ def test_deep_and_repeated_records(spark):
     assert got == sorted([(1, *x) for x in walk(deep)] * 2) and len(got) == 302
 
 
+def nested(depth, text):
+    return '{"blocks": [' * depth + '{"lines": [{"spans": [{"type": "text", "content": ' + text + "}]}]}" + "]}" * depth
+
+
+def test_nesting_beyond_the_recursive_reader(spark):
+    n = 12_000
+    with pytest.raises(RecursionError):
+        json.loads("[" * 10 * n + "]" * 10 * n)
+    deep = '{"para_blocks": [' + nested(n, '"x"') + "]}"
+    assert found(spark, [(1, deep, "", ""), (2, deep[:-1], "", "")]) == [(1, 0, "para_blocks", ".".join("0" * (n + 1)), 0, 0)]
+    far = "[" * 10 * n + "1" + "]" * 10 * n
+    rows = spark.createDataFrame([(1, '{"para_blocks": [' + nested(0, far) + "]}")], "rec_id long, payload string")
+    assert [r.content for r in flatten(rows, "span").collect()] == [far]
+
+
+def test_reader_with_a_stack_reads_like_the_recursive_one(monkeypatch):
+    texts = [c for c in CASES if c] + ['{"a": {}, "b": [], "c": [1, -2.5e3, true, false, null, "\\u00e9\\n"]}', "[1,]", '{"a" 1}', "{1: 2}", "[1 2]", "[] x", " ", '{"a": 1,}']
+    plain = []
+    for x in texts:
+        try:
+            plain.append(json.loads(x))
+        except ValueError:
+            plain.append(ValueError)
+    written = [json.dumps(v, ensure_ascii=False) for v in plain if v is not ValueError]
+
+    def fails(*args, **kwargs):
+        raise RecursionError
+
+    real = json.dumps
+    monkeypatch.setattr(json, "loads", fails)
+    monkeypatch.setattr(json, "dumps", lambda v, **k: fails() if isinstance(v, (list, dict)) and v else real(v, **k))
+    for x, want in zip(texts, plain, strict=True):
+        if want is ValueError:
+            with pytest.raises(ValueError):
+                _loads(x)
+        else:
+            assert _loads(x) == want
+    assert [_dumps(v) for v in plain if v is not ValueError] == written
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
 
