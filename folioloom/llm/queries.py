@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioloom.llm import bpe, canon, language, markup, mixing, mojibake, repetition, scan, split
 from folioloom.llm.arrow import local
 from folioloom.llm.labels import LANGUAGES, SPELLINGS, normal_label
-from folioloom.llm.training import training_texts
+from folioloom.llm.training import training_sample, training_texts
 from folioloom.runtime import checkpointed, read, spread
 
 
@@ -137,8 +137,7 @@ def _encoding_model(spark: SparkSession, root: str) -> Broadcast:
     """Fitted on the bounded samples of documents and of blocks, as blocks hold bullets and references that documents lack."""
     documents = read(spark, root, "documents", "doc_id", "text", "lang")
     blocks = read(spark, root, "blocks", "block_id", "content", "type").select(F.col("block_id").alias("doc_id"), F.col("content").alias("text"), F.lit(None).cast("string").alias("lang"))
-    samples = training_texts(documents) + training_texts(blocks, 3000)
-    return mojibake.share(spark, [t for _, t in samples])
+    return mojibake.share(training_sample(documents).unionByName(training_sample(blocks, 3000)))
 
 
 def p7_restored(spark: SparkSession, root: str) -> DataFrame:
