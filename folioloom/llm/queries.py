@@ -177,7 +177,7 @@ def _by_stratum(spark: SparkSession, root: str) -> DataFrame:
 
 def _cutoffs(spark: SparkSession, root: str) -> list[tuple]:
     sample = repetition.sample_per_stratum(_by_stratum(spark, root), "doc_id", HOLDOUT)
-    return repetition.calibrate(repetition.labelled(sample), list(STRATA))
+    return repetition.calibrate(repetition.planted(sample, "doc_id"), list(STRATA))
 
 
 def p10_cutoffs(spark: SparkSession, root: str) -> DataFrame:
@@ -189,16 +189,11 @@ def p10_share(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
-    """Rejected by the calibrated cutoff of the stratum, then by the limit itself.
-
-    A cutoff above the limit would lose documents that the definition counts,
-    and a stratum without proof has none; in both cases the limit stands alone.
-    """
-    cutoffs = {s: min(c, repetition.LIMIT) for s, c, *_ in _cutoffs(spark, root)}
+    """Documents whose share reaches the calibrated cutoff of their stratum; where a corpus is too small for any proof, the limit of the definition."""
+    cutoffs = {s: min(c, 1.0) if c < float("inf") else repetition.LIMIT for s, c, *_ in _cutoffs(spark, root)}
     cutoff = F.create_map(*[F.lit(x) for pair in cutoffs.items() for x in pair])[F.col("stratum")]
     scored = repetition.shares(_by_stratum(spark, root), ["doc_id", "stratum"])
-    rejected = scored.where((F.col("repeated_share") >= cutoff) & (F.col("letters") > 0))
-    return rejected.where(3 * F.col("repeated_letters") >= F.col("letters")).select("doc_id").distinct()
+    return scored.where((F.col("repeated_share") >= cutoff) & (F.col("letters") > 0)).select("doc_id").distinct()
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_lines, p2_paragraphs, p3_found, p3_segments, p3_labels, p3_files, p4_found, p4_canonical, p5_found, p5_pieces, p5_joined, p6_found, p6_clean, p6_paths, p7_found, p7_restored, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_share, p10_cutoffs)}

@@ -8,8 +8,8 @@ consecutive pieces. Without their overlaps the pieces give back the text.
 
 Defined results: sizes are Unicode characters. Null texts, types without a
 limit and limits that are null or below 1 give no rows. Texts within the limit
-aren't split. An overlap that would leave no room is shortened to half of the
-limit; where two limits name a type, the smaller size and the smaller overlap
+aren't split. An overlap of the limit or more would leave no room for new text
+and is shortened to half of the limit; any smaller one is kept exactly. Where two limits name a type, the smaller size and the smaller overlap
 hold. Stretches without any boundary are cut between whole grapheme clusters,
 inside of one only where it alone exceeds the limit.
 """
@@ -93,7 +93,7 @@ def split(text: str, max_chars: int, overlap: int = 0, code: bool = False) -> li
     n = len(text)
     if n <= max_chars:
         return [Piece(0, n, 0, None)]
-    overlap = min(max(overlap, 0), max_chars // 2)
+    overlap = max(overlap, 0) if overlap < max_chars else max_chars // 2
     step = max_chars - overlap
     at, price, kind = boundaries(text, step, code)
     pieces = 1 + -(-(n - max_chars) // step)
@@ -107,6 +107,8 @@ def split(text: str, max_chars: int, overlap: int = 0, code: bool = False) -> li
     start = at - overlap
     start[0] = 0
     for j in range(1, m):
+        if at[j] <= overlap:
+            continue  # a piece that ends here would be too short for the overlap of the next
         low = lowest[j] if at[j] > max_chars else 0
         size = at[j] - start[low:j]
         total = cost[low:j] + PIECE + UNEVEN * ((size - even) / even) ** 2

@@ -20,10 +20,17 @@ def test_limits_hold(text, size, overlap, code):
     assert all(p.end - p.start <= size for p in pieces)
     assert "".join(text[p.start + p.overlap : p.end] for p in pieces) == text
     if len(text) > size:
-        want = min(overlap, size // 2)
+        want = overlap if overlap < size else size // 2
         assert all(b.overlap == want and b.start == a.end - want for a, b in itertools.pairwise(pieces))
 
 
+def test_large_overlaps_are_exact():
+    for overlap in (51, 70, 99):
+        pieces = S.split("word " * 60, 100, overlap)
+        assert len(pieces) > 1 and all(b.start == a.end - overlap for a, b in itertools.pairwise(pieces))
+    assert [p.overlap for p in S.split("word " * 60, 100, 100)][1:3] == [50, 50]
+
+
 def best_cost(text, size, overlap, code):
     """Every set of cuts, tried out."""
     step = size - overlap
@@ -36,6 +43,8 @@ def best_cost(text, size, overlap, code):
         for inner in itertools.combinations(range(1, m - 1), k):
             ends = [*inner, m - 1]
             starts = [0, *[at[i] - overlap for i in inner]]
+            if any(at[i] <= overlap for i in inner):
+                continue
             sizes = [at[e] - s for s, e in zip(starts, ends, strict=True)]
             if all(x <= size for x in sizes):
                 best = min(best, sum(price[e] + S.PIECE + S.UNEVEN * ((x - even) / even) ** 2 for e, x in zip(ends, sizes, strict=True)))
@@ -43,7 +52,7 @@ def best_cost(text, size, overlap, code):
 
 
 @pytest.mark.parametrize("text", ["aa bb. cc, dd\n\nee ff gg. hh", "一二三。四五六，七八九。十", "a b c d e f g h i j k"])
-@pytest.mark.parametrize(("size", "overlap"), [(8, 0), (9, 2), (12, 3)])
+@pytest.mark.parametrize(("size", "overlap"), [(8, 0), (9, 2), (12, 3), (12, 8)])
 def test_cuts_are_optimal(text, size, overlap):
     pieces = S.split(text, size, overlap)
     at, price, _ = S.boundaries(text, size - overlap, False)
