@@ -36,7 +36,15 @@ AS_CYRILLIC = "aeopcyxijshdqwABEKMHOPCTYXIJSHGQW"
 GREEK = "ονΑΒΕΖΗΙΚΜΝΟΡΤΥΧ"
 AS_GREEK = "ovABEZHIKMNOPTYX"
 
-_LOOK_ALIKE = re.compile(f"[{CYRILLIC}{GREEK}]")
+# Letters that look like Latin ones but mean something by themselves (Greek signs), or stand in scripts
+# that are rarer than their misuse. They only count as Latin in words that hold a Latin letter.
+WEAK = "αρικυϲϳӏӀɡɑոսհօցՍՏՕԼᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᏀᏃᏏᏒᏔᏙᏚᏞᏟᏢᏦᏧⲞⲟⲢⲣⲤⲥⲦⲬⲒⲔⲘⲚⲎꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ"
+AS_WEAK = "apikucjlIganuhogUSOLDRTiYAJEWMHGZbRWVSLCPKdOoPpCcTXIKMNHBPDTGKJCZFMNLSRVHWXYAEIOU"
+_WEAK = dict(zip(map(ord, WEAK), AS_WEAK, strict=True))
+_HAS_WEAK = re.compile(f"[{WEAK}]")
+_HAS_LATIN = re.compile("[A-Za-z]")
+
+_LOOK_ALIKE = re.compile(f"[{CYRILLIC}{GREEK}{WEAK}]")
 
 # Radicals without a compatibility form, and the same character as an ideograph.
 RADICALS = "⺁⺂⺃⺅⺆⺈⺉⺊⺌⺍⺎⺏⺐⺒⺓⺔⺖⺘⺙⺛⺜⺝⺞⺠⺡⺢⺣⺥⺦⺨⺩⺫⺬⺭⺮⺯⺰⺱⺲⺶⺹⺺⺻⺽⺾⺿⻀⻁⻂⻃⻄⻅⻆⻈⻉⻊⻋⻌⻍⻎⻏⻐⻑⻒⻓⻔⻖⻗⻘⻙⻚⻛⻜⻝⻟⻠⻢⻣⻤⻥⻦⻧⻨⻩⻪⻫⻬⻭⻮⻯⻰⻱⻲"
@@ -94,7 +102,7 @@ def tables() -> tuple[dict[int, str], re.Pattern, dict[str, str], dict[str, str]
             change[ord(c)] = "'"
             unstable.append(c)
     latin = dict(zip(CYRILLIC + GREEK, AS_CYRILLIC + AS_GREEK, strict=True))
-    unstable += [*latin, *seconds]
+    unstable += [*latin, *WEAK, *seconds]
     cyrillic = {b: a for a, b in zip(CYRILLIC, AS_CYRILLIC, strict=True) if a in "аеорсухАВЕКМНОРСТУХ"}
     codes = sorted({ord(c) for c in unstable})
     spans, start = [], codes[0]
@@ -119,6 +127,8 @@ def _one_script(word: str, context: Callable[[], str]) -> str:
     tells nothing either, a pure one stays and a mixed one becomes Latin.
     """
     _, _, latin, cyrillic = tables()
+    if _HAS_WEAK.search(word) and _HAS_LATIN.search(word):
+        word = word.translate(_WEAK)
     scripts = {_script(c) for c in word} - {""}
     if scripts <= {"L"}:
         return word
@@ -186,6 +196,7 @@ _BLANK = re.compile(r"[ \t\r\n]")
 #: Plain words of one script with a letter that no other has: nothing in them changes.
 _CYRILLIC_WORD = re.compile("[«(„]?[а-яёА-ЯЁ]*[бвгджзийклмнптфцчшщъыьэюяБГДЖЗИЙЛПФЦЧШЩЪЫЬЭЮЯёЁ][а-яёА-ЯЁ]*[-.,;:!?»)]*")
 
+_RARE_WORD = re.compile(rf"(?<!\w)[{''.join(c for c in WEAK if c >= 'Ա')}]{{2,}}(?!\w)")
 _KEY = str.maketrans({**{c: "-" for c in DASHES}, **{c: "'" for c in APOSTROPHES}, "\t": " ", "\n": " ", "\r": " "})
 
 
@@ -200,6 +211,8 @@ def key(text: str | None) -> str | None:
     _, _, latin, _ = tables()
     c = unicodedata.normalize("NFD", c)
     c = _WORDS.sub(lambda m: "".join(latin[x] for x in m.group()) if all(x in latin for x in m.group()) else m.group(), c)
+    # words of the rarer scripts that hold nothing but look-alikes; Greek signs stay
+    c = _RARE_WORD.sub(lambda m: m.group().translate(_WEAK), c)
     return unicodedata.normalize("NFC", c)
 
 

@@ -525,7 +525,10 @@ VERBATIM = ("code", "interline_equation")
 
 
 def clean_fields(blocks: DataFrame, id_col: str = "block_id", host_col: str = "doc_id", fields: tuple[str, ...] = ("content", "html"), keep: tuple[str, ...] = ("type",)) -> DataFrame:
-    """(id, kept columns, field_name, clean, kinds) of each field that isn't null; rows are as many as such fields.
+    """(id, kept columns, field_name, clean, kinds, path) of each field that isn't null; rows are as many as such fields.
+
+    Of a whole page only the part at the winning path of its host is judged and
+    cleaned; ``path`` names it, and is null where the whole field was taken.
 
     The content of code and formulas comes back unchanged, and no markup is
     looked for in it. Paths are voted for in one pass over the markup fields and joined back on
@@ -543,7 +546,7 @@ def clean_fields(blocks: DataFrame, id_col: str = "block_id", host_col: str = "d
     else:
         long = long.withColumn("_path", F.lit(None).cast("string"))
     schema = T.StructType(
-        [T.StructField(id_col, blocks.schema[id_col].dataType), *[T.StructField(c, blocks.schema[c].dataType) for c in keep], T.StructField("field_name", T.StringType()), T.StructField("clean", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType(), False))]
+        [T.StructField(id_col, blocks.schema[id_col].dataType), *[T.StructField(c, blocks.schema[c].dataType) for c in keep], T.StructField("field_name", T.StringType()), T.StructField("clean", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType(), False)), T.StructField("path", T.StringType())]
     )
 
     kind = keep.index("type") if "type" in keep else None
@@ -551,11 +554,12 @@ def clean_fields(blocks: DataFrame, id_col: str = "block_id", host_col: str = "d
     def rows(columns: list[list]) -> Iterator[tuple]:
         for i, *kept, name, text, path in zip(*columns, strict=True):
             if name == "content" and kind is not None and kept[kind] in VERBATIM:
-                yield i, *kept, name, text, []
+                yield i, *kept, name, text, [], None
                 continue
-            clean, kinds = convert(extract(text, path))
-            if path and not kinds:
-                kinds = ["html"]
-            yield i, *kept, name, clean, kinds
+            part = extract(text, path) if path else text
+            clean, kinds = convert(part)
+            found = path if part is not text else None
+            # a part of a page is markup that was already taken off
+            yield i, *kept, name, clean, ["html", *[k for k in kinds if k != "html"]] if found else kinds, found
 
     return map_rows(long, {c: c for c in ("_id", *[f"_keep_{c}" for c in keep], "name", "text", "_path")}, schema, rows)

@@ -63,3 +63,11 @@ def test_frames(spark):
     got = sorted((r.block_id, r.canonical, r.changed) for r in K.canonical_texts(blocks.where("block_id < 6"), ["block_id"]).collect() if r.canonical is not None)
     assert got == [(2, "", False), (3, "Scope", True), (3, "Scope", True), (4, "Scope", False), (5, " ", False)]
     assert K.same_reading(blocks.limit(0), terms).count() == 0 == K.same_reading(blocks, terms.limit(0)).count()
+
+
+def test_look_alikes_of_rarer_scripts():
+    assert K.canonical("mеthοd Sсοpe ρlan ꓢcope Ꮯost хⲟr Ꭺnnex օpen") == "method Scope plan Scope Cost xor Annex open"
+    # signs and words of their own script stay
+    for text in ("ρ = 3 and α < ι", "ꓢꓚꓳꓑꓰ", "ᎠᎢ", "Coefficient α for channels"):
+        assert K.canonical(text) == text
+    assert K.key("ꓢꓚꓳꓑꓰ") == "SCOPE" and K.key("Coefficient α") != K.key("Coefficient a")
