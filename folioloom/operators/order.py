@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioloom.runtime import running_sum
+
 Box = tuple[float, float, float, float]
 
 #: Fixed values of the recursive cut.
@@ -128,22 +130,25 @@ def pack(documents: Iterable[tuple[str, int]], window: int) -> list[list[str]]:
 def unique_stems(stems: DataFrame, key: str, stem: str) -> DataFrame:
     """(key, stem, unique): later stems that equal an earlier one but for case get _2, _3, ...
 
-    Names that such a number would collide with are skipped by counting them
-    first: the numbers taken are the literal ones of the same root.
+    Numbers that would collide with a literal name of the same root are
+    skipped: of the numbers taken, in order t1, t2, ..., the i-th moves all
+    namesakes from the (ti - i + 1)-th on by one. Ranks are running counts in
+    two steps, so a stem that a third of all files share is no one task's.
+    Keys are whole numbers; null stems drop out.
     """
-    from pyspark.sql import Window
-
-    low = F.lower(stem)
-    w = Window.partitionBy("_low").orderBy(key)
-    ranked = stems.select(key, stem).withColumn("_low", low).withColumn("_n", F.row_number().over(w))
-    # literal names "root_number" of other files; a root's own list is as long as its namesakes
-    literal = ranked.select(F.regexp_extract("_low", r"^(.*)_(\d{1,6})$", 1).alias("_low"), F.regexp_extract("_low", r"^(.*)_(\d{1,6})$", 2).try_cast("int").alias("_k")).where("_k IS NOT NULL").distinct()
-    again = ranked.where("_n > 1").select("_low").distinct()
-    taken = literal.join(again, "_low", "left_semi").groupBy("_low").agg(F.array_sort(F.collect_set("_k")).alias("_taken"))
-    j = ranked.join(taken, "_low", "left")
-    # the n-th free number from 2 on: each taken number up to it moves it by one
-    free = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_n"), lambda at, t: F.when((t >= 2) & (t <= at), at + 1).otherwise(at))
-    return j.select(key, stem, F.when(F.col("_n") == 1, F.col(stem)).otherwise(F.concat(F.col(stem), F.lit("_"), free.cast("string"))).alias("unique"))
+    named = stems.select(key, stem).where(F.col(stem).isNotNull() & F.col(key).isNotNull()).withColumn("_low", F.lower(stem))
+    ranked = running_sum(named, ["_low"], key, [stem], F.lit(1), "_n")
+    # literal names "root_number" of other files
+    form = r"^(.*)_([1-9]\d{0,17})$"
+    literal = named.select(F.regexp_extract("_low", form, 1).alias("_low"), F.regexp_extract("_low", form, 2).try_cast("bigint").alias("_k")).where("_k >= 2").distinct()
+    again = ranked.where("_n = 2").select("_low")
+    taken = running_sum(literal.join(again, "_low", "left_semi"), ["_low"], "_k", [], F.lit(1), "_i").select("_low", (F.col("_k") - F.col("_i") + 1).alias("_n"))
+    # how many thresholds lie at or below each rank
+    empty = [F.lit(None).cast(named.schema[c].dataType).alias(c) for c in (key, stem)]
+    both = ranked.select(key, stem, "_low", "_n", F.lit(0).alias("_t")).unionByName(taken.select(*empty, "_low", "_n", F.lit(1).alias("_t")))
+    moved = running_sum(both.withColumn("_order", 1 - F.col("_t")), ["_low"], "_n", ["_order"], F.col("_t"), "_moved")
+    number = (F.col("_n") + F.col("_moved")).cast("string")
+    return moved.where("_t = 0").select(key, stem, F.when(F.col("_n") == 1, F.col(stem)).otherwise(F.concat(F.col(stem), F.lit("_"), number)).alias("unique"))
 
 
 # ---- sheets

@@ -43,16 +43,19 @@ def page_signals(pages: DataFrame) -> DataFrame:
     t = F.col("cleaned")
     runs = F.regexp_extract_all(t, F.lit(f"[{PUNCT}]{{4,}}"), F.lit(0))
     rare = "\\u7280-\\u72DF"
-    return pages.withColumn("cleaned", F.regexp_replace("text", r"\s+", "")).select(
-        "*",
+    # the many scripts are counted on what is left without Latin
+    other = F.col("_other")
+    cleaned = pages.withColumn("cleaned", F.regexp_replace("text", r"\s+", "")).withColumn("_other", F.regexp_replace("cleaned", "[\\x00-\\u024F]+", ""))
+    return cleaned.select(
+        *[c for c in cleaned.columns if c != "_other"],
         F.length(t).alias("chars"),
         _count(t, ABNORMAL).alias("abnormal"),
-        _count(t, HAN).alias("han"),
-        F.length(F.regexp_replace(F.regexp_replace(t, f"[^{rare}]", ""), f"[{RARE_HAN}]", "")).alias("rare_han"),
+        _count(other, HAN).alias("han"),
+        F.length(F.regexp_replace(F.regexp_replace(other, f"[^{rare}]", ""), f"[{RARE_HAN}]", "")).alias("rare_han"),
         _count(t, PUNCT).alias("punct"),
         F.length(F.array_join(runs, "")).alias("punct_run"),
         F.size(F.array_distinct(F.split(F.array_join(runs, ""), ""))).alias("punct_kinds"),
-        *[_count(t, c).alias(f"script_{i}") for i, c in enumerate(SCRIPTS.values())],
+        *[_count(other, c).alias(f"script_{i}") for i, c in enumerate(SCRIPTS.values())],
     )
 
 

@@ -20,8 +20,13 @@ from folioloom.functions import geometry as G
 BAND = 40.0
 
 
+#: Bands beyond these limits are one, so that a box of any size is at most so many rows.
+FAR = 2048
+
+
 def _bands(df: DataFrame, box: str, band: float) -> DataFrame:
-    low, high = F.floor(F.col(box)["y0"] / band).cast("int"), F.floor(F.col(box)["y1"] / band).cast("int")
+    at = lambda y: F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.floor(F.col(box)[y] / band))).cast("int")
+    low, high = at("y0"), at("y1")
     return df.withColumn("_low", low).withColumn("_band", F.explode(F.sequence(low, high)))
 
 

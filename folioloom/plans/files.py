@@ -31,7 +31,8 @@ def _sampled(spark: SparkSession, root: str) -> DataFrame:
     """Text of the sampled pages, with page size and the share of images."""
     sampled = _counts(spark, root).select("doc_id", F.explode(R.sample_pages(F.col("pages"))).alias("page_idx"))
     size = read(spark, root, "doc_pages", "doc_id", "page_idx", "width", "height").groupBy("doc_id", "page_idx").agg(F.max("width").alias("width"), F.max("height").alias("height"))
-    blocks = read(spark, root, "blocks", "doc_id", "page_idx", "block_id", "type", "content", "bbox")
+    # at most ten pages a file: no other page's text is gathered
+    blocks = read(spark, root, "blocks", "doc_id", "page_idx", "block_id", "type", "content", "bbox").join(sampled, ["doc_id", "page_idx"], "left_semi")
     box = G.upright(F.col("bbox"))
     piece = F.struct("block_id", F.coalesce("content", F.lit("")).alias("t"))
     per = blocks.groupBy("doc_id", "page_idx").agg(F.array_join(F.array_sort(F.collect_list(piece))["t"], " ").alias("text"), F.sum(F.when((F.col("type") == "image") & F.col("bbox.x0").isNotNull() & F.col("bbox.y1").isNotNull(), G.area(box)).otherwise(0.0)).alias("image_area"))
@@ -93,9 +94,10 @@ def q_expired_tasks(spark: SparkSession, root: str, seconds: int = 86_400) -> Da
 
 def q_page_windows(spark: SparkSession, root: str) -> DataFrame:
     """Pages of all files, in the order of their first request, in windows of 64."""
-    first = read(spark, root, "tasks", "submit_order", "file_names").select("submit_order", F.posexplode("file_names").alias("k", "doc_id")).groupBy("doc_id").agg((F.min(F.col("submit_order") * 1000 + F.col("k"))).alias("ord"))
-    files = first.join(_counts(spark, root), "doc_id", "left").select("ord", "doc_id", F.col("pages").alias("page_count"))
-    return windows_of_pages(files)
+    t = read(spark, root, "tasks", "submit_order", "file_names").where("submit_order IS NOT NULL")
+    first = t.select("submit_order", F.posexplode("file_names").alias("k", "doc_id")).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("submit_order", "k")).alias("at"))
+    files = first.join(_counts(spark, root), "doc_id", "left").select("at.submit_order", "at.k", "doc_id", F.col("pages").alias("page_count"))
+    return windows_of_pages(files, order=("submit_order", "k"))
 
 
 QUERIES = {f.__name__: f for f in (q_sample_pages, q_page_windows, q_render_ranges, q_page_signals, q_route, q_private_use, q_font_usage, q_task_stats, q_queued_ahead, q_latest_tasks, q_expired_tasks)}
@@ -126,8 +128,8 @@ _PAGES = f"""{_N}, s AS (SELECT doc_id, unnest({_SAMPLE}) AS page_idx FROM n),
 _K = len(R.SCRIPTS)
 SQL = {
     "q_sample_pages": f"WITH {_N} SELECT doc_id, {_SAMPLE} AS sample FROM n",
-    "q_page_windows": f"""WITH {_N}, f AS (SELECT doc_id, min(submit_order * 1000 + k - 1) AS ord FROM (SELECT submit_order, unnest(file_names) AS doc_id, generate_subscripts(file_names, 1) AS k FROM tasks) GROUP BY doc_id),
-        j AS (SELECT doc_id, ord, coalesce(pages, 0) AS n FROM f LEFT JOIN n USING (doc_id)), s AS (SELECT *, sum(n) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) - n AS start FROM j),
+    "q_page_windows": f"""WITH {_N}, f AS (SELECT doc_id, min({{'o': submit_order, 'k': k}}) AS ord FROM (SELECT submit_order, unnest(file_names) AS doc_id, generate_subscripts(file_names, 1) AS k FROM tasks WHERE submit_order IS NOT NULL) WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        j AS (SELECT doc_id, ord, coalesce(pages, 0) AS n FROM f LEFT JOIN n USING (doc_id)), s AS (SELECT *, sum(n) OVER (ORDER BY ord, doc_id ROWS UNBOUNDED PRECEDING) - n AS start FROM j),
         e AS (SELECT *, unnest(CASE WHEN n > 0 THEN range(0, n) ELSE [-1] END)::INT AS page_idx FROM s) SELECT doc_id, page_idx, CASE WHEN page_idx < 0 THEN -1 ELSE (start + page_idx) // 64 END AS window_no FROM e""",
     "q_render_ranges": f"""WITH {_N}, p AS (SELECT doc_id, pages, unnest(range(0, pages))::INT AS page_idx FROM n), k AS (SELECT *, greatest(1, least(3, pages // 4)) AS parts FROM p)
         SELECT doc_id, page_idx, CASE parts WHEN 1 THEN 0 WHEN 2 THEN ntile(2) OVER w - 1 ELSE ntile(3) OVER w - 1 END AS range_no FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY page_idx)""",

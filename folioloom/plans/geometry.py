@@ -125,7 +125,15 @@ _NEXT = ", ".join(f"lead({k}) OVER w AS n{k}" for k in ("x0", "y0", "x1", "y1"))
 _NI, _A1, _A2 = "greatest(least(x1, nx1) - greatest(x0, nx0), 0) * greatest(least(y1, ny1) - greatest(y0, ny0), 0)", "((x1 - x0) * (y1 - y0))", "((nx1 - nx0) * (ny1 - ny0))"
 _SAME = "p.doc_id = q.doc_id AND p.page_idx = q.page_idx"
 
+_MEET = "(greatest(least(q.x1, e.x1) - greatest(q.x0, e.x0), 0) * greatest(least(q.y1, e.y1) - greatest(q.y0, e.y0), 0))"
+_BOTH = "((q.x1 - q.x0) * (q.y1 - q.y0) + (e.x1 - e.x0) * (e.y1 - e.y0))"
+
 SQL = {
+    # by falling score, a box stays if none that stayed covers it
+    "q_best_boxes": f"""WITH RECURSIVE {_B}, s AS (SELECT doc_id, page_idx, {{'id': block_id, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} AS e, row_number() OVER (PARTITION BY doc_id, page_idx ORDER BY coalesce(score, 0) DESC, block_id) AS k FROM b),
+        r AS (SELECT doc_id, page_idx, k, [e] AS kept FROM s WHERE k = 1
+            UNION ALL SELECT r.doc_id, r.page_idx, s.k, CASE WHEN len(list_filter(r.kept, lambda q: {_MEET} > 0 AND {_MEET} / ({_BOTH} - {_MEET}) > 0.9)) = 0 THEN list_append(r.kept, s.e) ELSE r.kept END FROM r JOIN s ON s.doc_id IS NOT DISTINCT FROM r.doc_id AND s.page_idx IS NOT DISTINCT FROM r.page_idx AND s.k = r.k + 1),
+        l AS (SELECT doc_id, page_idx, arg_max(kept, k) AS kept FROM r GROUP BY ALL) SELECT unnest(kept).id AS block_id FROM l""",
     "q_box_metrics": f"""WITH {_B}, n AS (SELECT *, {_NEXT} FROM b WINDOW w AS (PARTITION BY doc_id, page_idx ORDER BY block_id))
         SELECT block_id, round(sqrt(pow(greatest(nx0 - x1, x0 - nx1, 0), 2) + pow(greatest(ny0 - y1, y0 - ny1, 0), 2)), 6) AS distance,
             round(sqrt(pow((x0 + x1) / 2 - (nx0 + nx1) / 2, 2) + pow((y0 + y1) / 2 - (ny0 + ny1) / 2, 2)), 6) AS center_distance,

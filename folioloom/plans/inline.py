@@ -39,7 +39,11 @@ def q_code_language(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (q_inline_spans, q_clean_tables, q_clean_tables_all, q_code_language)}
 
+_SIGNS = ", ".join(f"{{'n': len(regexp_extract_all(content, '{p}')), 'k': {-k}, 'name': '{name}'}}" for k, (name, p) in enumerate(I.CODE.items()))
+
 SQL = {
+    "q_code_language": f"""WITH c AS (SELECT block_id, content, list_max([{_SIGNS}]) AS best FROM blocks WHERE type = 'code')
+        SELECT block_id, CASE WHEN content IS NULL THEN NULL WHEN best.n > 0 THEN best.name ELSE 'txt' END AS language FROM c""",
     "q_inline_spans": """WITH b AS (SELECT block_id, regexp_extract(content, '^([A-Za-z]+) ([A-Za-z0-9]+) (.*)', ['w', 'f', 'r'], 's') AS p, content FROM blocks WHERE type IN ('table_caption', 'image_caption') AND regexp_matches(content, '^[A-Za-z]+ [A-Za-z0-9]+ '))
         SELECT block_id, 0 AS span_no, 'text' AS type, p.w AS content, 'bold' AS style FROM b UNION ALL SELECT block_id, 1, 'text', ' ', '' FROM b UNION ALL SELECT block_id, 2, 'inline_equation', p.f, '' FROM b UNION ALL SELECT block_id, 3, 'text', ' ' || p.r, '' FROM b""",
     "q_clean_tables": "SELECT block_id, html FROM blocks WHERE html LIKE '<%' AND html LIKE '%</table>%'",

@@ -78,7 +78,33 @@ def q_dedup_chars_all(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (q_xycut, q_row_order, q_bin_pack, q_unique_stems, q_formulas, q_dedup_chars, q_dedup_chars_all)}
 
+_UP = "least(bbox.x0, bbox.x1) AS x0, least(bbox.y0, bbox.y1) AS y0, greatest(bbox.x0, bbox.x1) AS x1, greatest(bbox.y0, bbox.y1) AS y1"
+
 SQL = {
+    # each box is put behind the last one that it may not pass
+    "q_row_order": f"""WITH RECURSIVE b AS (SELECT block_id, doc_id, page_idx, {_UP} FROM blocks WHERE bbox.x0 IS NOT NULL AND bbox.x1 IS NOT NULL AND bbox.y0 IS NOT NULL AND bbox.y1 IS NOT NULL),
+        s AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_idx ORDER BY y0, x0, block_id) AS k FROM b),
+        r AS (SELECT doc_id, page_idx, 1 AS k, [{{'id': block_id, 'x': x0, 'y': y0}}] AS done FROM s WHERE k = 1
+            UNION ALL SELECT doc_id, page_idx, k + 1, done[1:slot] || [e] || done[slot + 1:] FROM (
+                SELECT r.doc_id, r.page_idx, r.k, r.done, {{'id': s.block_id, 'x': s.x0, 'y': s.y0}} AS e,
+                    coalesce(list_max(list_filter(range(1, len(r.done) + 1), lambda i: NOT (abs(s.y0 - r.done[i].y) < 10 AND s.x0 < r.done[i].x))), 0) AS slot
+                FROM r JOIN s ON s.doc_id IS NOT DISTINCT FROM r.doc_id AND s.page_idx IS NOT DISTINCT FROM r.page_idx AND s.k = r.k + 1)),
+        f AS (SELECT doc_id, page_idx, arg_max(done, k) AS done FROM r GROUP BY ALL)
+        SELECT doc_id, page_idx, unnest(done).id AS block_id, (generate_subscripts(done, 1) - 1)::INT AS position FROM f""",
+    # the larger first, each into the emptiest window it fits, too large ones alone
+    "q_bin_pack": """WITH RECURSIVE p AS (SELECT doc_id, count(DISTINCT page_idx) AS pages FROM doc_pages GROUP BY doc_id),
+        t AS (SELECT task_id, max(file_names) AS f FROM tasks GROUP BY task_id),
+        e AS (SELECT task_id, unnest(f) AS doc_id, generate_subscripts(f, 1) AS k FROM t),
+        s AS (SELECT task_id, doc_id, coalesce(pages, 0) AS n, row_number() OVER (PARTITION BY task_id ORDER BY coalesce(pages, 0) DESC, k) AS k FROM e LEFT JOIN p USING (doc_id)),
+        r AS (SELECT task_id, 1 AS k, [{'load': n, 'names': [doc_id]}] AS bins FROM s WHERE k = 1
+            UNION ALL SELECT task_id, k + 1, CASE WHEN n > 8 OR slot IS NULL THEN bins || [{'load': n, 'names': [doc_id]}] ELSE bins[1:slot - 1] || [{'load': bins[slot].load + n, 'names': bins[slot].names || [doc_id]}] || bins[slot + 1:] END FROM (
+                SELECT r.task_id, r.k, r.bins, s.doc_id, s.n, list_min(list_transform(list_filter(range(1, len(r.bins) + 1), lambda i: r.bins[i].load + s.n <= 8), lambda i: {'load': r.bins[i].load, 'i': i})).i AS slot FROM r JOIN s ON s.task_id = r.task_id AND s.k = r.k + 1)),
+        l AS (SELECT task_id, arg_max(bins, k) AS bins FROM r GROUP BY task_id)
+        SELECT task_id, (generate_subscripts(bins, 1) - 1)::INT AS bin_no, unnest(bins).names AS doc_ids FROM l""",
+    "q_unique_stems": r"""WITH r AS (SELECT doc_id, file_stem, lower(file_stem) AS low, row_number() OVER (PARTITION BY lower(file_stem) ORDER BY doc_id, file_stem) AS n FROM documents WHERE file_stem IS NOT NULL AND doc_id IS NOT NULL),
+        l AS (SELECT DISTINCT regexp_extract(low, '^(.*)_([1-9][0-9]{0,17})$', 1) AS low, regexp_extract(low, '^(.*)_([1-9][0-9]{0,17})$', 2)::BIGINT AS k FROM r WHERE regexp_matches(low, '^(.*)_([1-9][0-9]{0,17})$')),
+        t AS (SELECT low, list(k) AS taken FROM l WHERE k >= 2 GROUP BY low)
+        SELECT doc_id, file_stem, CASE WHEN n = 1 THEN file_stem ELSE file_stem || '_' || list_filter(range(2, n + coalesce(len(taken), 0) + 1), lambda x: NOT coalesce(list_contains(taken, x), false))[n - 1] END AS "unique" FROM r LEFT JOIN t USING (low)""",
     # characters come back as they were before every seventh was drawn again
     "q_dedup_chars": """WITH e AS (SELECT block_id, unnest(string_split(content, '')) AS char, generate_subscripts(string_split(content, ''), 1) - 1 AS k FROM blocks WHERE type = 'title' AND content IS NOT NULL)
         SELECT block_id, (k * 2)::INT AS char_idx, char, k * 6.0::DOUBLE AS x0, 100.0::DOUBLE AS y0, k * 6.0::DOUBLE + 5 AS x1, 110.0::DOUBLE AS y1 FROM e WHERE char <> ''""",

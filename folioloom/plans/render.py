@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioloom.functions import text as X
 from folioloom.operators import render as D
 from folioloom.operators.shred import flatten
+from folioloom.plans.nested import SQL as SHREDDED
 from folioloom.runtime import read, spread
 
 PAGE = ["doc_id", "page_idx"]
@@ -87,16 +88,29 @@ _MD = f"""m AS (SELECT *, nullif(CASE type
     WHEN 'image' THEN concat_ws(chr(10), '![](images/' || sha256('image_' || block_id) || '.jpg)', nullif(array_to_string(captions, '  ' || chr(10)), ''), nullif(array_to_string(footnotes, '  ' || chr(10)), ''))
     ELSE CASE WHEN t <> '' THEN {_EP} END END, '') AS md FROM k WHERE type NOT IN ('header', 'footer', 'page_number', 'aside_text', 'page_footnote'))"""
 
-SQL = {
-    "q_block_markdown": f"WITH {_KIDS}, {_MD} SELECT block_id, md FROM m",
-    "q_markdown": f"WITH {_KIDS}, {_MD} SELECT doc_id, string_agg(md, chr(10) || chr(10) ORDER BY page_idx NULLS FIRST, block_id) AS markdown FROM m WHERE md IS NOT NULL GROUP BY doc_id",
-    "q_text_markdown": f"WITH {_KIDS}, {_MD} SELECT doc_id, string_agg(md, chr(10) || chr(10) ORDER BY page_idx NULLS FIRST, block_id) AS markdown FROM m WHERE md IS NOT NULL AND type NOT IN ('table', 'image', 'chart') GROUP BY doc_id",
-    "q_content_list": f"""WITH {_KIDS}, z AS (SELECT doc_id, page_idx, max(width) AS w, max(height) AS h FROM doc_pages GROUP BY ALL)
+_CONTENT = f"""WITH {_KIDS}, z AS (SELECT doc_id, page_idx, max(width) AS w, max(height) AS h FROM doc_pages GROUP BY ALL)
         SELECT block_id, page_idx, CASE WHEN type IN ('text', 'title', 'list', 'index', 'abstract') THEN 'text' WHEN type = 'interline_equation' THEN 'equation' WHEN type = 'ref_text' THEN 'list' ELSE type END AS type,
             CASE WHEN type IN ('image', 'table', 'chart', 'ref_text', 'code') THEN NULL WHEN type = 'interline_equation' THEN '$$' || chr(10) || trim(content, ' ') || chr(10) || '$$' ELSE {_EP} END AS text,
             CASE WHEN type = 'title' AND coalesce(title_level, 1) <> 0 THEN coalesce(title_level, 1) END AS text_level, CASE WHEN type = 'interline_equation' THEN 'latex' END AS text_format,
             CASE WHEN type = 'ref_text' THEN list_filter(list_transform(string_split(content, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') END AS list_items, captions, footnotes,
             CASE WHEN type = 'table' THEN html END AS table_body, CASE WHEN type = 'code' THEN {_FENCE} END AS code_body,
             CASE WHEN bbox.x0 IS NOT NULL AND bbox.y1 IS NOT NULL AND w > 0 AND h > 0 THEN [trunc(least(bbox.x0, bbox.x1) * 1000 / w)::INT, trunc(least(bbox.y0, bbox.y1) * 1000 / h)::INT, trunc(greatest(bbox.x0, bbox.x1) * 1000 / w)::INT, trunc(greatest(bbox.y0, bbox.y1) * 1000 / h)::INT] END AS bbox
-        FROM k LEFT JOIN z USING (doc_id, page_idx)""",
+        FROM k LEFT JOIN z USING (doc_id, page_idx)"""
+
+SQL = {
+    "q_block_markdown": f"WITH {_KIDS}, {_MD} SELECT block_id, md FROM m",
+    "q_markdown": f"WITH {_KIDS}, {_MD} SELECT doc_id, string_agg(md, chr(10) || chr(10) ORDER BY page_idx NULLS FIRST, block_id) AS markdown FROM m WHERE md IS NOT NULL GROUP BY doc_id",
+    "q_text_markdown": f"WITH {_KIDS}, {_MD} SELECT doc_id, string_agg(md, chr(10) || chr(10) ORDER BY page_idx NULLS FIRST, block_id) AS markdown FROM m WHERE md IS NOT NULL AND type NOT IN ('table', 'image', 'chart') GROUP BY doc_id",
+    "q_content_list": _CONTENT,
+    "q_content_pages": f"""WITH i AS (SELECT * FROM ({_CONTENT})), p AS (SELECT i.*, b.doc_id FROM i JOIN (SELECT block_id, doc_id FROM blocks) b USING (block_id)),
+        j AS (SELECT doc_id, page_idx, block_id, '{{"type":' || to_json(type) || ',"content":{{' || concat_ws(',', '"text":' || to_json(text), '"text_level":' || text_level, '"list_items":' || to_json(list_items), '"table_body":' || to_json(table_body), '"code_body":' || to_json(code_body), CASE WHEN len(captions) > 0 THEN '"captions":' || to_json(captions) END) || '}}' || coalesce(',"bbox":' || to_json(bbox), '') || '}}' AS item FROM p)
+        SELECT doc_id, page_idx, '[' || string_agg(item, ',' ORDER BY block_id) || ']' AS items FROM j GROUP BY ALL""",
+    "q_styled_spans": f"""SELECT rec_id, page_no, block_list, block_path, line_no, span_no,
+            CASE length(content) % 5 WHEN 0 THEN '**' || content || '**' WHEN 1 THEN '***' || content || '***' WHEN 2 THEN '~~' || content || '~~' ELSE content END AS md,
+            CASE length(content) % 5 WHEN 0 THEN '<strong>' || content || '</strong>' WHEN 1 THEN '<em><strong>' || content || '</strong></em>' WHEN 2 THEN '<s>' || content || '</s>' WHEN 3 THEN '<em><u>' || content || '</u></em>' ELSE content END AS html
+        FROM ({SHREDDED['p1_spans']}) WHERE type = 'text' AND content IS NOT NULL""",
+    "q_list_items": """WITH t AS (SELECT doc_id, block_id, greatest(0, coalesce(title_level, 2) - 1) AS ilevel, coalesce(title_level, 2) % 2 = 0 AS ordered, content FROM blocks WHERE type = 'title' AND content IS NOT NULL),
+        s AS (SELECT a.*, (SELECT count(*) FROM t b WHERE b.doc_id IS NOT DISTINCT FROM a.doc_id AND b.block_id <= a.block_id AND b.ilevel < a.ilevel) AS run FROM t a),
+        n AS (SELECT *, sum(ordered::INT) OVER (PARTITION BY doc_id, ilevel, run ORDER BY block_id) AS n FROM s)
+        SELECT block_id, repeat('    ', ilevel) || CASE WHEN ordered THEN n || '. ' ELSE '- ' END || content AS line FROM n""",
 }

@@ -82,6 +82,8 @@ _BREAK = "type IN ('abstract', 'interline_equation', 'doc_title', 'paragraph_tit
 _W = "(PARTITION BY doc_id ORDER BY page_idx, block_id)"
 _UP = "least(bbox.x0, bbox.x1) AS x0, least(bbox.y0, bbox.y1) AS y0, greatest(bbox.x0, bbox.x1) AS x1, greatest(bbox.y0, bbox.y1) AS y1"
 
+_PARTS = "CASE WHEN n <> '' AND len(p) = coalesce(title_level, 2) THEN list_transform(p, lambda x: x::INT) END"
+
 SQL = {
     "q_block_groups": f"""SELECT block_id, group_no FROM (SELECT block_id, type, sum(coalesce(({_BREAK})::INT, 0)) OVER (PARTITION BY doc_id ORDER BY page_idx, block_id ROWS UNBOUNDED PRECEDING) AS group_no FROM blocks)
         WHERE type IN ('text', 'index', 'vertical_text')""",
@@ -129,6 +131,14 @@ SQL = {
             sqrt(pow((cx0 + cx1) / 2 - (mx0 + mx1) / 2, 2) + pow((cy0 + cy1) / 2 - (my0 + my1) / 2, 2)) AS centre FROM f WHERE blockers = 0 QUALIFY diff = min(hi - lo - same) OVER (PARTITION BY child)),
         r AS (SELECT *, max(edge) OVER (PARTITION BY child) - min(edge) OVER (PARTITION BY child) AS spread, bool_and(mtype = 'table') OVER (PARTITION BY child) AS tables FROM n)
         SELECT child, parent FROM r QUALIFY row_number() OVER (PARTITION BY child ORDER BY CASE WHEN spread > 2 THEN edge WHEN tables THEN -parent ELSE centre END, parent) = 1""",
+    "q_section_numbers": f"""WITH RECURSIVE t AS (SELECT doc_id, page_idx, block_id, coalesce(title_level, 2) AS level, block_id % 2 = 0 AS numbered, {_PARTS} AS literal, row_number() OVER (PARTITION BY doc_id ORDER BY page_idx NULLS FIRST, block_id) AS k FROM (
+            SELECT *, string_split(n, '.') AS p FROM (SELECT *, regexp_extract(coalesce(content, '') || ' ', '^\\s*([0-9]+(?:\\.[0-9]+)*)\\.?\\s', 1) AS n FROM blocks WHERE type = 'title' AND doc_id IS NOT NULL))),
+        r AS (SELECT doc_id, 0::BIGINT AS k, []::INT[] AS counters, NULL::BIGINT AS block_id, NULL::INT AS page_idx, NULL::VARCHAR AS number FROM (SELECT DISTINCT doc_id FROM t)
+            UNION ALL SELECT doc_id, k, CASE WHEN kind = 'literal' THEN literal WHEN kind = 'count' THEN up ELSE counters END, block_id, page_idx, CASE WHEN kind = 'count' THEN array_to_string(up, '.') END FROM (
+                SELECT t.doc_id, t.k, r.counters, t.block_id, t.page_idx, t.literal, CASE WHEN level < 1 THEN 'none' WHEN len(literal) = level THEN 'literal' WHEN NOT numbered THEN 'none' ELSE 'count' END AS kind,
+                    list_transform(range(1, level + 1), lambda i: CASE WHEN i = level THEN coalesce(r.counters[i], 0) + 1 ELSE greatest(1, coalesce(r.counters[i], 0)) END::INT) AS up
+                FROM r JOIN t ON t.doc_id = r.doc_id AND t.k = r.k + 1))
+        SELECT doc_id, page_idx, block_id, number FROM r WHERE k > 0""",
     "q_title_levels": """SELECT block_id, CASE WHEN type IN ('text', 'vertical_text') THEN 'text' ELSE type END AS kind,
         CASE WHEN type = 'title' THEN CASE WHEN row_number() OVER (PARTITION BY doc_id, type ORDER BY page_idx NULLS FIRST, block_id) = 1 THEN 1 ELSE 2 END END AS level FROM blocks""",
 }

@@ -47,6 +47,13 @@ def q_table_merge(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (q_table_cells, q_table_shape, q_cell_count, q_table_merge)}
 
 SQL = {
+    # in these tables only first cells reach over rows
+    "q_table_cells": r"""WITH t AS (SELECT block_id, regexp_extract_all(html, '(?is)<tr[^>]*>(.*?)(?:</tr>|$)', 1) AS rows FROM blocks WHERE html LIKE '%<table%'),
+        r AS (SELECT block_id, unnest(rows) AS inside, generate_subscripts(rows, 1) AS k FROM t),
+        c AS (SELECT block_id, k, unnest(regexp_extract_all(inside, '(?is)<t[dh][^>]*>.*?(?:</t[dh]>|$)')) AS cell, generate_subscripts(regexp_extract_all(inside, '(?is)<t[dh][^>]*>.*?(?:</t[dh]>|$)'), 1) - 1 AS cell_no FROM r),
+        f AS (SELECT block_id, (dense_rank() OVER (PARTITION BY block_id ORDER BY k) - 1)::INT AS row_no, cell_no::INT AS cell_no, coalesce(nullif(regexp_extract(cell, '^<[^>]*colspan="([0-9]+)"', 1), '')::INT, 1) AS colspan, coalesce(nullif(regexp_extract(cell, '^<[^>]*rowspan="([0-9]+)"', 1), '')::INT, 1) AS rowspan,
+            regexp_matches(cell, '(?i)^<th') AS is_header, trim(replace(replace(replace(replace(replace(regexp_replace(cell, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&')) AS text FROM c)
+        SELECT block_id, row_no, cell_no, (sum(colspan) OVER (PARTITION BY block_id, row_no ORDER BY cell_no) - colspan + (EXISTS (SELECT 1 FROM f g WHERE g.block_id = f.block_id AND g.cell_no = 0 AND g.row_no < f.row_no AND g.row_no + g.rowspan > f.row_no))::INT)::INT AS col_no, colspan, rowspan, is_header, text FROM f""",
     # tables that were cut off still have the rows and cells whose tags they open
     "q_table_shape": r"""WITH t AS (SELECT block_id, len(regexp_extract_all(html, '<tr[ >]')) AS n_rows, len(regexp_extract_all(html, '<t[dh](?: [^>]*)?>')) AS n_cells, regexp_extract(html, '(?s)<tr[ >].*?(?:</tr>|$)') AS first FROM blocks WHERE html LIKE '%<table%')
         SELECT block_id, n_rows, n_cells, list_sum(list_transform(regexp_extract_all(first, '<t[dh](?: [^>]*)?>'), lambda x: coalesce(nullif(regexp_extract(x, 'colspan="(\d+)"', 1), '')::INT, 1))) AS first_row FROM t WHERE n_cells > 0""",

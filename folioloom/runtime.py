@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def read(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
@@ -31,16 +34,36 @@ def spread(df: DataFrame) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only where it is unset
-    (tests on one machine) a local folder is used.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    session on one machine gets a folder of its own, removed at its end; a
+    cluster is refused, as its machines share no such folder.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "folioloom-checkpoints"))
+        if not folder:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
+            folder = tempfile.mkdtemp(prefix="folioloom-checkpoints-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
+def running_sum(df: DataFrame, group: list[str], value: str, order: list[str], what: Column, name: str, stretch: int = 4096) -> DataFrame:
+    """``df`` with ``name``: the sum of ``what`` over the rows of its group up to its own, by (value, order).
+
+    In two steps, within stretches of the whole number ``value`` and over the
+    sums of stretches, so that a group with a third of all rows is no one
+    task's. ``value`` and the columns of ``group`` must not be null.
+    """
+    cut = df.withColumn("_stretch", F.floor(F.col(value) / stretch)).withColumn("_what", what)
+    per = cut.groupBy(*group, "_stretch").agg(F.sum("_what").alias("_sum"))
+    base = per.select(*group, "_stretch", (F.sum("_sum").over(Window.partitionBy(*group).orderBy("_stretch")) - F.col("_sum")).alias("_base"))
+    own = F.sum("_what").over(Window.partitionBy(*group, "_stretch").orderBy(value, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return cut.withColumn("_own", own).join(base, [*group, "_stretch"]).select(*df.columns, (F.col("_own") + F.col("_base")).alias(name))
+
+
 def ordered_fold(df: DataFrame, group: list[str], order: list[str], schema: str, start: Callable[[], Callable[[tuple], Iterator[tuple]]]) -> DataFrame:
     """A fold over the rows of each group in order, for rules whose state no window can hold.
 
