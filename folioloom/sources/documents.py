@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioloom.functions.text import suffix_of_bytes
 from folioloom.operators.order import unique_stems
+from folioloom.runtime import checkpointed
 
 #: Suffixes that are read.
 IMAGES = ("png", "jpeg", "jp2", "webp", "gif", "bmp", "jpg", "tiff")
@@ -31,7 +32,10 @@ def collect(spark: SparkSession, path: str) -> DataFrame:
 
 def with_unique_stems(files: DataFrame) -> DataFrame:
     """Stems made unique but for case, in the order of the paths."""
-    return files.join(unique_stems(files.select("path", "stem"), "path", "stem").select("path", "unique"), "path")
+    # numbers that grow with the paths; fixed, as ranges of a sort may differ when it is repeated
+    placed = checkpointed(files.select("path", "stem").orderBy("path").withColumn("_at", F.monotonically_increasing_id()))
+    named = unique_stems(placed, "_at", "stem").select("_at", "unique").join(placed.select("_at", "path"), "_at")
+    return files.join(named.select("path", "unique"), "path")
 
 
 def ranged(content: Column, offset: Column, limit: Column) -> Column:

@@ -53,14 +53,20 @@ class Package:
     def __init__(self, content: bytes):
         self.zip = zipfile.ZipFile(io.BytesIO(content))
         self.names = {n.lower(): n for n in self.zip.namelist()}
+        #: Parts that are there but can't be read, and why.
+        self.problems: dict[str, str] = {}
 
     def xml(self, name: str) -> ET.Element | None:
         real = self.names.get(name.lstrip("/").lower())
-        if real is None or self.zip.getinfo(real).file_size > MOST:
+        if real is None:
+            return None
+        if self.zip.getinfo(real).file_size > MOST:
+            self.problems[real] = f"larger than {MOST} bytes"
             return None
         try:
             return ET.fromstring(self.zip.read(real))
-        except ET.ParseError:
+        except ET.ParseError as e:
+            self.problems[real] = str(e)
             return None
 
     def related(self, name: str) -> dict[str, str]:
@@ -446,7 +452,8 @@ def office_blocks(files: DataFrame, id_col: str, content_col: str) -> DataFrame:
     """(id, suffix, block_no, page_idx, type, level, ilevel, ordered, text, html, error) of office files.
 
     A file that is no package, or that can't be read, gives one row with its
-    error and no type; null contents give none.
+    error and no type, and so does each part that is too large or broken, after
+    the blocks that could be read; null contents give none.
     """
     kind = files.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {kind}, suffix string, block_no int, page_idx int, type string, level int, ilevel int, ordered boolean, text string, html string, error string"
@@ -455,7 +462,7 @@ def office_blocks(files: DataFrame, id_col: str, content_col: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, content in batch.itertuples(index=False, name=None):
-                suffix, rows, error = None, [], None
+                suffix, rows, error, package = None, [], None, None
                 try:
                     package = Package(bytes(content))
                     suffix = package.kind()
@@ -465,8 +472,11 @@ def office_blocks(files: DataFrame, id_col: str, content_col: str) -> DataFrame:
                         rows.append((key, suffix, n, b.page, b.type, b.level, b.ilevel, b.ordered, b.text, b.html, None))
                 except (zipfile.BadZipFile, ValueError, KeyError, ET.ParseError, NotImplementedError, OSError, RuntimeError) as e:
                     error = f"{type(e).__name__}: {e}"[:200]
+                problems = [error] if error is not None else []
+                problems += [f"{name}: {why}"[:200] for name, why in package.problems.items()] if package is not None else []
                 if error is not None:
-                    rows = [(key, suffix, None, None, None, None, None, None, None, None, error)]
+                    rows = []
+                rows += [(key, suffix, None, None, None, None, None, None, None, None, why) for why in problems]
                 if rows:
                     yield pd.DataFrame.from_records(rows, columns=names).astype({c: "Int32" for c in ("block_no", "page_idx", "level", "ilevel")} | {"ordered": "boolean"})
 
