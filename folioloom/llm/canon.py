@@ -66,8 +66,8 @@ def _invisible(c: str) -> bool:
 
 
 @lru_cache(maxsize=1)
-def tables() -> tuple[dict[int, str], re.Pattern, dict[str, str], dict[str, str]]:
-    """(character map, quick check, look-alike -> Latin, Latin -> Cyrillic)."""
+def tables() -> tuple[dict[int, str], re.Pattern, frozenset[str], dict[str, str], dict[str, str]]:
+    """(character map, quick check, the characters it looks for, look-alike -> Latin, Latin -> Cyrillic)."""
     change: dict[int, str] = {}
     unstable: list[str] = []
     seconds = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}  # what composes with the character before it
@@ -111,7 +111,7 @@ def tables() -> tuple[dict[int, str], re.Pattern, dict[str, str], dict[str, str]
             spans.append(f"\\U{start:08x}-\\U{a:08x}")
             start = b
     quick = re.compile(f"[{''.join(spans)}]")
-    return change, quick, latin, cyrillic
+    return change, quick, frozenset(map(chr, codes)), latin, cyrillic
 
 
 def _script(c: str) -> str:
@@ -126,7 +126,7 @@ def _one_script(word: str, context: Callable[[], str]) -> str:
     A stretch without any takes the script of the text around it; where that
     tells nothing either, a pure one stays and a mixed one becomes Latin.
     """
-    _, _, latin, cyrillic = tables()
+    *_, latin, cyrillic = tables()
     if _HAS_WEAK.search(word) and _HAS_LATIN.search(word):
         word = word.translate(_WEAK)
     scripts = {_script(c) for c in word} - {""}
@@ -150,8 +150,8 @@ def canonical(text: str | None) -> str | None:
     """The consistent form of a text; text that is in it already comes back as the same object."""
     if text is None or text.isascii():
         return text
-    change, quick, latin, _ = tables()
-    if not quick.search(text):
+    change, quick, unstable, latin, _ = tables()
+    if unstable.isdisjoint(text):
         return text
     context: list[str] = []
 
@@ -208,7 +208,7 @@ def key(text: str | None) -> str | None:
     c = c.translate(_KEY).strip()
     if c.isascii() or not _LOOK_ALIKE.search(c):
         return c
-    _, _, latin, _ = tables()
+    *_, latin, _ = tables()
     c = unicodedata.normalize("NFD", c)
     c = _WORDS.sub(lambda m: "".join(latin[x] for x in m.group()) if all(x in latin for x in m.group()) else m.group(), c)
     # words of the rarer scripts that hold nothing but look-alikes; Greek signs stay
