@@ -196,3 +196,22 @@ def effective_pages(pages: Column, start: Column, end: Column) -> Column:
     """Pages left after clamping a range; a null or negative end means the last page."""
     last = F.when(end.isNull() | (end < 0) | (end > pages - 1), pages - 1).otherwise(end)
     return F.greatest(F.lit(0), last - F.coalesce(start, F.lit(0)) + 1)
+
+
+# Codes of languages by the recogniser that reads their script.
+READ_BY = {
+    "ch": ("", "en", "japan", "chinese_cht", "latin"),
+    "east_slavic": ("ru", "be", "uk"),
+    "arabic": ("ar", "fa", "ug", "ur", "ps", "ku", "sd", "bal"),
+    "cyrillic": ("rs_cyrillic", "bg", "mn", "abq", "ady", "kbd", "ava", "dar", "inh", "che", "lbe", "lez", "tab", "kk", "ky", "tg", "mk", "tt", "cv", "ba", "mhr", "mo", "udm", "kv", "os", "bua", "xal", "tyv", "sah", "kaa"),
+    "devanagari": ("hi", "mr", "ne", "bh", "mai", "ang", "bho", "mah", "sck", "new", "gom", "sa", "bgc"),
+}
+
+
+def ocr_language(label: Column, cpu: bool = False) -> Column:
+    """The recogniser that reads a language label; null and empty labels take the first one, labels of no script stay as they are."""
+    own = F.coalesce(label, F.lit(""))
+    model = own
+    for name, codes in READ_BY.items():
+        model = F.when(own.isin(*codes), name).otherwise(model)
+    return F.when(model == "seal", "seal_lite").otherwise(model) if cpu else model

@@ -6,7 +6,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from statistics import median
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from folioloom.functions.text import LIGATURES
 from folioloom.runtime import ordered_fold
@@ -135,3 +136,11 @@ def ctc(steps: list[tuple[int, float]], blank: int = 0) -> tuple[list[int], floa
     """Labels of a recogniser's steps without repeats and blanks, and their mean confidence."""
     kept = [(label, p) for k, (label, p) in enumerate(steps) if label != blank and (k == 0 or label != steps[k - 1][0])]
     return [label for label, _ in kept], sum(p for _, p in kept) / len(kept) if kept else 0.0
+
+
+def ctc_steps(steps: Column, blank: str = "") -> Column:
+    """struct<labels, confidence> of steps (label, p), as ``ctc``; an empty array has confidence 0, null stays null."""
+    before = lambda i: F.get(steps, i - 1)["label"]
+    kept = F.filter(steps, lambda x, i: (x["label"] != F.lit(blank)) & ((i == 0) | (F.coalesce(before(i), F.lit(blank)) != x["label"])))
+    total = F.aggregate(kept, F.lit(0.0), lambda a, x: a + x["p"])
+    return F.when(steps.isNotNull(), F.struct(F.transform(kept, lambda x: x["label"]).alias("labels"), F.when(F.size(kept) > 0, total / F.size(kept)).otherwise(0.0).alias("confidence")))

@@ -30,6 +30,12 @@ def _bands(df: DataFrame, box: str, band: float) -> DataFrame:
     return df.withColumn("_low", low).withColumn("_band", F.explode(F.sequence(low, high)))
 
 
+def at_points(points: DataFrame, boxes: DataFrame, page: list[str], y: Column, box: str, band: float = BAND) -> DataFrame:
+    """Rows of both sides where a point may lie in a box: it is looked up in the one band of its height, so no pair comes twice."""
+    at = F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.floor(y / band))).cast("int")
+    return points.withColumn("_band", at).join(_bands(boxes, box, band).drop("_low"), [*page, "_band"]).drop("_band")
+
+
 def overlapping(a: DataFrame, b: DataFrame, page: list[str], a_box: str, b_box: str, band: float = BAND) -> DataFrame:
     """Pairs of boxes that touch or overlap on a page, each once; boxes must be upright and not null."""
     left = _bands(a, a_box, band).withColumnRenamed("_low", "_a")
@@ -173,6 +179,34 @@ def union_area(boxes: list[tuple[float, float, float, float]]) -> float:
     return total
 
 
+def covered_area(boxes: DataFrame, page: list[str]) -> DataFrame:
+    """(page, area): the exact area that a page's boxes (x0, y0, x1, y1) cover; flat and null ones cover nothing.
+
+    The boxes of a page are one array, so many pages go to Python in a batch.
+    """
+
+    @F.pandas_udf(T.DoubleType())
+    def area(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda own: union_area([tuple(b[c] for c in ("x0", "y0", "x1", "y1")) for b in own if not any(pd.isna(b[c]) for c in ("x0", "y0", "x1", "y1"))]))
+
+    per = boxes.groupBy(*page).agg(F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("boxes"))
+    return per.select(*page, area("boxes").alias("area"))
+
+
+def ranges_left(first: Column, last: Column, masks: Column) -> Column:
+    """array<struct<a, b>>: what of a range of whole numbers lies outside all masks (array of structs a, b), in order."""
+    inside = F.array_sort(F.transform(F.filter(masks, lambda m: (m["b"] >= first) & (m["a"] <= last)), lambda m: F.struct(m["a"].alias("a"), m["b"].alias("b"))))
+    zero = F.struct(first.cast("int").alias("at"), F.array().cast("array<struct<a:int,b:int>>").alias("out"))
+
+    def step(acc: Column, m: Column) -> Column:
+        gap = F.array(F.struct(acc["at"].alias("a"), (m["a"] - 1).cast("int").alias("b")))
+        out = F.when(m["a"] > acc["at"], F.concat(acc["out"], gap)).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], (m["b"] + 1).cast("int")).alias("at"), out.alias("out"))
+
+    rest = lambda acc: F.when(acc["at"] <= last, F.concat(acc["out"], F.array(F.struct(acc["at"].alias("a"), last.cast("int").alias("b"))))).otherwise(acc["out"])
+    return F.aggregate(inside, zero, step, rest)
+
+
 def line_of(df: DataFrame, group: list[str], box: str, ratio: float = 0.6, alone: Column | None = None) -> DataFrame:
     """Spans numbered by the text line they stand in (``line_no`` from 0).
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioloom.functions.text import LIGATURES
 from folioloom.operators.route import private_use
-from folioloom.operators.spatial import overlapping
+from folioloom.operators.spatial import at_points
 
 # Marks that end or begin a line and may stand half outside of their span.
 STOPS = ".!?。！？)）\"”:：;；]】}>》、,，-—–"
@@ -51,8 +51,8 @@ def owned_characters(chars: DataFrame, spans: DataFrame, page: list[str]) -> Dat
     left. Characters and spans meet by page and band; characters without a span
     and null boxes drop out.
     """
-    pairs = overlapping(chars.where("char_box IS NOT NULL"), spans.where("span_box IS NOT NULL"), page, "char_box", "span_box")
     c, s = F.col("char_box"), F.col("span_box")
+    pairs = at_points(chars.where("char_box IS NOT NULL"), spans.where("span_box IS NOT NULL"), page, (c["y0"] + c["y1"]) / 2, "span_box")
     height = s["y1"] - s["y0"]
     x, y = (c["x0"] + c["x1"]) / 2, (c["y0"] + c["y1"]) / 2
     level = (y > s["y0"]) & (y < s["y1"]) & (F.abs(y - (s["y0"] + s["y1"]) / 2) < height * LEVEL)

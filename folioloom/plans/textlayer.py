@@ -18,7 +18,9 @@ def q_surrogates(spark: SparkSession, root: str) -> DataFrame:
     """Characters of texts out of their code units; every third text ends in half a pair."""
     d = spread(read(spark, root, "documents", "doc_id", "text").where("text IS NOT NULL"))
     half = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit(0xD835))).otherwise(F.array().cast("array<int>"))
-    c = d.select("doc_id", L.joined_units(F.concat(L.code_units(F.col("text")), half)).alias("c"))
+    # made once a row: a function over an array must not make it anew for each of its elements
+    u = d.select("doc_id", F.concat(L.code_units(F.col("text")), half).alias("u"))
+    c = u.select("doc_id", L.joined_units(F.col("u")).alias("c"))
     mixed = F.aggregate(F.transform("c", lambda x, i: x["code"].cast("long") * (i % 1009 + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
     return c.select("doc_id", F.size("c").alias("n"), F.size(F.filter("c", lambda x: x["code"] > 0xFFFF)).alias("far"), mixed.alias("mixed"))
 
