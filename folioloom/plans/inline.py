@@ -24,11 +24,6 @@ def _without_looks(b: DataFrame) -> DataFrame:
 
 
 def q_clean_tables(spark: SparkSession, root: str) -> DataFrame:
-    """Whole tables, which come back as the SQL has them; truncated and mixed ones too: q_clean_tables_all."""
-    return _without_looks(read(spark, root, "blocks", "block_id", "html").where("html LIKE '<%' AND html LIKE '%</table>%'"))
-
-
-def q_clean_tables_all(spark: SparkSession, root: str) -> DataFrame:
     """Every table field, truncated or with text around the table."""
     return _without_looks(read(spark, root, "blocks", "block_id", "html").where("html IS NOT NULL"))
 
@@ -37,7 +32,7 @@ def q_code_language(spark: SparkSession, root: str) -> DataFrame:
     return read(spark, root, "blocks", "block_id", "type", "content").where("type = 'code'").select("block_id", I.code_language(F.col("content")).alias("language"))
 
 
-QUERIES = {f.__name__: f for f in (q_inline_spans, q_clean_tables, q_clean_tables_all, q_code_language)}
+QUERIES = {f.__name__: f for f in (q_inline_spans, q_clean_tables, q_code_language)}
 
 _SIGNS = ", ".join(f"{{'n': len(regexp_extract_all(content, '{p}')), 'k': {-k}, 'name': '{name}'}}" for k, (name, p) in enumerate(I.CODE.items()))
 
@@ -46,5 +41,5 @@ SQL = {
         SELECT block_id, CASE WHEN content IS NULL THEN NULL WHEN best.n > 0 THEN best.name ELSE 'txt' END AS language FROM c""",
     "q_inline_spans": """WITH b AS (SELECT block_id, regexp_extract(content, '^([A-Za-z]+) ([A-Za-z0-9]+) (.*)', ['w', 'f', 'r'], 's') AS p, content FROM blocks WHERE type IN ('table_caption', 'image_caption') AND regexp_matches(content, '^[A-Za-z]+ [A-Za-z0-9]+ '))
         SELECT block_id, 0 AS span_no, 'text' AS type, p.w AS content, 'bold' AS style FROM b UNION ALL SELECT block_id, 1, 'text', ' ', '' FROM b UNION ALL SELECT block_id, 2, 'inline_equation', p.f, '' FROM b UNION ALL SELECT block_id, 3, 'text', ' ' || p.r, '' FROM b""",
-    "q_clean_tables": "SELECT block_id, html FROM blocks WHERE html LIKE '<%' AND html LIKE '%</table>%'",
+    "q_clean_tables": "SELECT block_id, html FROM blocks WHERE html IS NOT NULL",
 }

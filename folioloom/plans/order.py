@@ -67,16 +67,11 @@ def _deduplicated(b: DataFrame) -> DataFrame:
 
 
 def q_dedup_chars(spark: SparkSession, root: str) -> DataFrame:
-    """Characters of titles, whose SQL is fast enough to be checked against; all blocks: q_dedup_chars_all."""
-    return _deduplicated(read(spark, root, "blocks", "block_id", "type", "content").where("type = 'title' AND content IS NOT NULL"))
-
-
-def q_dedup_chars_all(spark: SparkSession, root: str) -> DataFrame:
     """Characters of all blocks."""
     return _deduplicated(read(spark, root, "blocks", "block_id", "content").where("content IS NOT NULL"))
 
 
-QUERIES = {f.__name__: f for f in (q_xycut, q_row_order, q_bin_pack, q_unique_stems, q_formulas, q_dedup_chars, q_dedup_chars_all)}
+QUERIES = {f.__name__: f for f in (q_xycut, q_row_order, q_bin_pack, q_unique_stems, q_formulas, q_dedup_chars)}
 
 _UP = "least(bbox.x0, bbox.x1) AS x0, least(bbox.y0, bbox.y1) AS y0, greatest(bbox.x0, bbox.x1) AS x1, greatest(bbox.y0, bbox.y1) AS y1"
 
@@ -106,6 +101,6 @@ SQL = {
         t AS (SELECT low, list(k) AS taken FROM l WHERE k >= 2 GROUP BY low)
         SELECT doc_id, file_stem, CASE WHEN n = 1 THEN file_stem ELSE file_stem || '_' || list_filter(range(2, n + coalesce(len(taken), 0) + 1), lambda x: NOT coalesce(list_contains(taken, x), false))[n - 1] END AS "unique" FROM r LEFT JOIN t USING (low)""",
     # characters come back as they were before every seventh was drawn again
-    "q_dedup_chars": """WITH e AS (SELECT block_id, unnest(string_split(content, '')) AS char, generate_subscripts(string_split(content, ''), 1) - 1 AS k FROM blocks WHERE type = 'title' AND content IS NOT NULL)
+    "q_dedup_chars": """WITH e AS (SELECT block_id, unnest(string_split(content, '')) AS char, generate_subscripts(string_split(content, ''), 1) - 1 AS k FROM blocks WHERE content IS NOT NULL)
         SELECT block_id, (k * 2)::INT AS char_idx, char, k * 6.0::DOUBLE AS x0, 100.0::DOUBLE AS y0, k * 6.0::DOUBLE + 5 AS x1, 110.0::DOUBLE AS y1 FROM e WHERE char <> ''""",
 }

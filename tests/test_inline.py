@@ -49,4 +49,4 @@ def test_every_table_field_is_cleaned(spark, tmp_path):
         None: None,
     }
     spark.createDataFrame(list(enumerate(fields)), "block_id long, html string").write.parquet(f"{tmp_path}/blocks.parquet")
-    assert sorted(map(tuple, P.q_clean_tables_all(spark, str(tmp_path)).collect())) == [(i, v) for i, v in enumerate(fields.values()) if v is not None]
+    assert sorted(map(tuple, P.q_clean_tables(spark, str(tmp_path)).collect())) == [(i, v) for i, v in enumerate(fields.values()) if v is not None]

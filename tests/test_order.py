@@ -107,5 +107,5 @@ def test_characters_of_all_blocks(spark, tmp_path):
     texts = ["aa bb\n", "the long content of a block " * 200, "é\U0001d44b漢", "", None, "title"]
     kinds = ["text", "list", None, "code", "text", "title"]
     spark.createDataFrame(list(zip(range(6), kinds, texts, strict=True)), "block_id long, type string, content string").write.parquet(f"{tmp_path}/blocks.parquet")
-    got = sorted(map(tuple, P.q_dedup_chars_all(spark, str(tmp_path)).collect()))
+    got = sorted(map(tuple, P.q_dedup_chars(spark, str(tmp_path)).collect()))
     assert got == [(i, 2 * k, c, 6.0 * k, 100.0, 6.0 * k + 5, 110.0) for i, t in enumerate(texts) for k, c in enumerate(t or "")]
