@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from folioloom.functions import geometry as G
 from folioloom.functions.text import LINE_STOPS, LIST_ENDS
-from folioloom.runtime import ordered_fold
+from folioloom.runtime import ordered_fold, running_sum
 
 #: Kinds that begin a new group of text, and kinds that are text.
 BREAKERS = ("abstract", "interline_equation", "doc_title", "paragraph_title", "title")
@@ -19,10 +19,14 @@ TEXT_KINDS = ("text", "index", "vertical_text")
 
 
 def text_groups(blocks: DataFrame, doc: list[str], order: list[str]) -> DataFrame:
-    """Text blocks with the number of their group; a new one starts where a breaker comes next."""
-    w = Window.partitionBy(*doc).orderBy(*order)
-    number = F.sum(F.col("type").isin(*BREAKERS).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return blocks.withColumn("group_no", F.coalesce(number, F.lit(0))).where(F.col("type").isin(*TEXT_KINDS))
+    """Text blocks with the number of their group; a new one starts where a breaker comes next.
+
+    ``order`` begins with the page; breakers are counted within stretches of
+    pages and over them, so that a file of any length is many tasks.
+    """
+    breaks = F.coalesce(F.col("type").isin(*BREAKERS).cast("int"), F.lit(0))
+    placed = blocks.withColumn("_at", F.coalesce(F.col(order[0]), F.lit(-1)))
+    return running_sum(placed, doc, "_at", order, breaks, "group_no", stretch=64).drop("_at").where(F.col("type").isin(*TEXT_KINDS))
 
 
 def merge_flags(n_lines: Column, previous_n: Column, fits: Column, w: Window) -> Column:

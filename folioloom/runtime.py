@@ -55,13 +55,16 @@ def running_sum(df: DataFrame, group: list[str], value: str, order: list[str], w
 
     In two steps, within stretches of the whole number ``value`` and over the
     sums of stretches, so that a group with a third of all rows is no one
-    task's. ``value`` and the columns of ``group`` must not be null.
+    task's. ``value`` must not be null; null groups are groups.
     """
     cut = df.withColumn("_stretch", F.floor(F.col(value) / stretch)).withColumn("_what", what)
     per = cut.groupBy(*group, "_stretch").agg(F.sum("_what").alias("_sum"))
-    base = per.select(*group, "_stretch", (F.sum("_sum").over(Window.partitionBy(*group).orderBy("_stretch")) - F.col("_sum")).alias("_base"))
+    base = per.select(*[F.col(g).alias(f"_of_{g}") for g in group], F.col("_stretch").alias("_of_stretch"), (F.sum("_sum").over(Window.partitionBy(*group).orderBy("_stretch")) - F.col("_sum")).alias("_base"))
     own = F.sum("_what").over(Window.partitionBy(*group, "_stretch").orderBy(value, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return cut.withColumn("_own", own).join(base, [*group, "_stretch"]).select(*df.columns, (F.col("_own") + F.col("_base")).alias(name))
+    same = F.col("_stretch") == F.col("_of_stretch")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return cut.withColumn("_own", own).join(base, same).select(*df.columns, (F.col("_own") + F.col("_base")).alias(name))
 
 
 def ordered_fold(df: DataFrame, group: list[str], order: list[str], schema: str, start: Callable[[], Callable[[tuple], Iterator[tuple]]]) -> DataFrame:
