@@ -383,59 +383,68 @@ class Repairer:
 # ---- furniture
 
 _ROMAN = re.compile(r"[ivxlcdm]+", re.I)
+_DIGIT = re.compile(r"\d")
 
 
 def _shape(content: str) -> list[str]:
     s = content.strip()
-    letters = [c for c in s if c.isalpha()]
+    letters = any(map(str.isalpha, s))
+    digits = _DIGIT.search(s) is not None
     words = s.split()
     kind = (
-        "digits" if s.isdigit() else "roman" if _ROMAN.fullmatch(s) else "dash" if re.fullmatch(r"[-–—]\s*\w+\s*[-–—]", s) else "number" if not letters else "count" if re.search(r"\d+\s*\D{1,8}\s*\d+$", s) and len(words) <= 5 else "upper" if s.isupper() else "title" if s.istitle() else "lower" if s[:1].islower() else "mixed"
+        "digits" if s.isdigit() else "roman" if _ROMAN.fullmatch(s) else "dash" if s[:1] in "-–—" and re.fullmatch(r"[-–—]\s*\w+\s*[-–—]", s) else "number" if not letters else "count" if digits and len(words) <= 5 and re.search(r"\d+\s*\D{1,8}\s*\d+$", s) else "upper" if s.isupper() else "title" if s.istitle() else "lower" if s[:1].islower() else "mixed"
     )
-    edge = "both" if re.match(r"\d+\s{2,}\D", s) or re.search(r"\D\s{2,}\d+$", s) else "tail" if re.search(r"\d+$", s) and letters else ""
-    return [f"k{kind}", f"e{edge}", f"p{s[-1:] if s[-1:] in '.,;:-' else ''}", f"n{min(len(words), 8)}", f"L{min(len(s) // 10, 8)}", f"u{s[:1].isupper()}{bool(letters)}"]
+    edge = "" if not digits else "both" if re.match(r"\d+\s{2,}\D", s) or re.search(r"\D\s{2,}\d+$", s) else "tail" if re.search(r"\d+$", s) and letters else ""
+    return [f"k{kind}", f"e{edge}", f"p{s[-1:] if s[-1:] in '.,;:-' else ''}", f"n{min(len(words), 8)}", f"L{min(len(s) // 10, 8)}", f"u{s[:1].isupper()}{letters}"]
+
+
+def _place(y: float | None) -> str:
+    return "?" if y is None else str(int(min(max(y, -1), 2000) // 12))
 
 
 def _furniture_features(content: str, y: float | None, same: int, step: int) -> list[str]:
-    place = "?" if y is None else str(int(min(max(y, -1), 2000) // 12))
-    shape = _shape(content)
+    place, shape = _place(y), _shape(content)
     r, q = _bin(same), _bin(step)
     return [f"y{place}", f"r{r}", f"q{q}", f"yr{place}{same > 1}", f"yq{place}{step > 1}", *shape, *[f"y{place}{x}" for x in shape[:3]], f"{shape[0]}{same > 1}{step > 1}", f"{shape[0]}{shape[2]}{shape[3]}", f"no{y is None}{same > 2}{step > 2}{shape[0]}"]
 
 
 def marked(lines: DataFrame) -> DataFrame:
-    """Lines with ``could``, whether they end in no punctuation of a sentence, and what may come again: their letters, and their number less that of the page."""
+    """Lines with what may come again: their letters, and their number less that of the page."""
     s = F.trim("content")
     key = F.when(s.rlike(r"(?i)^[ivxlcdm]+$"), F.lit("#roman")).otherwise(F.trim(F.regexp_replace(F.lower(s), r"[^\p{L}]+", " ")))
-    number = F.regexp_extract(s, r"(?<![\d.,])(\d{1,6})(?![\d.,])", 1).try_cast("int")
-    could = s.rlike(rf"[^{HYPHENS}.,;:!?]$") | s.rlike(r"^[-–—]\s*\w+\s*[-–—]$")
-    return lines.select("*", could.alias("could"), F.when(could, F.xxhash64(key)).alias("letters"), F.when(could, number - F.col("page_idx")).alias("offset"))
+    number = F.regexp_extract(s, r"(?<![\d.,])(\d{1,6})(?![\d.,]*\d)", 1).try_cast("int")
+    return lines.select("*", F.xxhash64(key).alias("letters"), (number - F.col("page_idx")).alias("offset"))
+
+
+def _border(frame: float) -> Column:
+    return (F.col("y") < 0.06 * frame) | (F.col("y") > 0.95 * frame)
 
 
-def furniture_candidates(lines: DataFrame) -> DataFrame:
-    """Lines that could be furniture: they end in no punctuation of a sentence. With how often their letters, and their number in step with the pages, come in the file."""
-    found = (lines if "letters" in lines.columns else marked(lines)).where("could").select("doc_id", "stretch", "page_idx", "span_id", "content", "y", "letters", "offset")
+def furniture_candidates(lines: DataFrame, frame: float) -> DataFrame:
+    """All lines, whatever they end in, with how often their letters come in the file, and how often of these at the border of a page, and their number in step with the pages."""
+    found = (lines if "letters" in lines.columns else marked(lines)).select("doc_id", "stretch", "page_idx", "span_id", "content", "y", "letters", "offset")
     # counted on the map side, so the many page numbers or headers of one file are no hot group; only what comes again is joined back
-    same = found.groupBy("doc_id", "letters").agg(F.count("*").alias("same")).where("same > 1")
+    same = found.groupBy("doc_id", "letters").agg(F.count("*").alias("same"), F.count_if(_border(frame)).alias("edge")).where("same > 1")
     step = found.where("offset IS NOT NULL").groupBy("doc_id", "letters", "offset").agg(F.count("*").alias("step")).where("step > 1").groupBy("doc_id", "letters").agg(F.map_from_entries(F.collect_list(F.struct("offset", "step"))).alias("steps"))
     again = checkpointed(same.join(step, ["doc_id", "letters"], "left"))
     # where few enough come again the lines stay where they are
     joined = found.join(F.broadcast(again) if again.count() <= FEW else again, ["doc_id", "letters"], "left")
     own_step = F.when(F.col("offset").isNotNull(), F.coalesce(F.try_element_at("steps", F.col("offset")), F.lit(1))).otherwise(0)
-    return joined.select("doc_id", "stretch", "page_idx", "span_id", "content", "y", F.coalesce("same", F.lit(1)).alias("same"), own_step.alias("step"))
+    return joined.select("doc_id", "stretch", "page_idx", "span_id", "content", "y", F.coalesce("same", F.lit(1)).alias("same"), F.coalesce("edge", F.lit(0)).alias("edge"), own_step.alias("step"))
 
 
-def page_height(candidates: DataFrame) -> float:
+def page_height(lines: DataFrame) -> float:
     """About where the lowest lines of pages begin."""
-    return candidates.agg(F.percentile_approx("y", 0.99, 1000)).first()[0] or 792.0
+    return lines.agg(F.percentile_approx("y", 0.99, 1000)).first()[0] or 792.0
 
 
 def fit_furniture(candidates: DataFrame, frame: float) -> Perceptron:
     """Seeds: what comes again at the border of pages, against what stands between and long unique lines."""
     y = F.col("y")
-    low, high = 0.06, 0.95
-    border = (y < low * frame) | (y > high * frame)
-    again = (F.col("same") >= 3) | (F.col("step") >= 3)
+    border = _border(frame)
+    # the last words of a paragraph come again too, but anywhere on a page; numbers share their lack of letters with those of tables
+    placed = (2 * F.col("edge") > F.col("same")) | ~F.col("content").rlike(r"\p{L}")
+    again = ((F.col("same") >= 3) & placed) | (F.col("step") >= 3)
     seed = F.when(border & again & (F.length(F.trim("content")) > 0), "yes").when(y.between(0.08 * frame, 0.9 * frame) | (border & (F.col("same") == 1) & (F.col("step") <= 1) & (F.length("content") > 45)), "no")
     rows = []
     # headings of chapters read like the headers they give: they are a sample of their own
@@ -448,27 +457,24 @@ def fit_furniture(candidates: DataFrame, frame: float) -> Perceptron:
     return Perceptron.fit(examples)
 
 
-def furniture(candidates: DataFrame) -> DataFrame:
+def furniture(candidates: DataFrame, frame: float) -> DataFrame:
     """(doc_id, stretch, furniture): for each stretch that has any, a map of its pages to the span_ids of their furniture."""
-    frame = page_height(candidates)
     shared = candidates.sparkSession.sparkContext.broadcast(fit_furniture(candidates, frame))
-    # what never comes again and stands amid its page is the model's seed for body lines: no case
-    once = (F.col("same") == 1) & (F.col("step") <= 1)
-    open_ = candidates.where(~(once & F.coalesce(F.col("y").between(0.08 * frame, 0.9 * frame), F.lit(False))))
     keys = ("doc_id", "stretch", "page_idx", "span_id")
     schema = T.StructType([candidates.schema[c] for c in keys])
 
     def rows(columns: list[list]) -> Iterator[tuple]:
         model, known = shared.value, {}
         for doc, stretch, page, span, content, y, same, step in zip(*columns, strict=True):
-            features = tuple(_furniture_features(content, y, same, step))
-            is_so = known.get(features)
+            # all that the features are made of
+            key = (_place(y), _bin(same), _bin(step), same > 1, same > 2, step > 1, step > 2, *_shape(content))
+            is_so = known.get(key)
             if is_so is None:
-                is_so = known[features] = model.margin(features) > 0
+                is_so = known[key] = model.margin(_furniture_features(content, y, same, step)) > 0
             if is_so:
                 yield doc, stretch, page, span
 
-    found = map_rows(open_, {c: c for c in (*keys, "content", "y", "same", "step")}, schema, rows).repartition("doc_id", "stretch")
+    found = map_rows(candidates, {c: c for c in (*keys, "content", "y", "same", "step")}, schema, rows).repartition("doc_id", "stretch")
     pages = found.groupBy("doc_id", "stretch", "page_idx").agg(F.collect_set("span_id").alias("spans"))
     return pages.groupBy("doc_id", "stretch").agg(F.map_from_entries(F.collect_list(F.struct("page_idx", "spans"))).alias("furniture"))
 
@@ -522,7 +528,8 @@ def repaired_lines(spans: DataFrame) -> DataFrame:
     own = ["doc_id", "stretch", "page_idx", "span_id", "content"]
     lines = checkpointed(marked(text_lines(spans).repartition("doc_id", "stretch").groupBy(*own).agg(F.min("y").alias("y"))))
     words, rare = collect_words(lines)
-    on_page = checkpointed(furniture(checkpointed(furniture_candidates(lines))))
+    frame = page_height(lines)
+    on_page = checkpointed(furniture(checkpointed(furniture_candidates(lines, frame)), frame))
     flagged = lines.join(on_page, ["doc_id", "stretch"], "left").withColumn("is_furniture", F.coalesce(F.array_contains(F.try_element_at("furniture", F.col("page_idx")), F.col("span_id")), F.lit(False)))
     flagged = flagged.select(*own, "is_furniture")
     own = flagged.where(~F.col("is_furniture")).drop("is_furniture")

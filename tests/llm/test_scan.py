@@ -79,6 +79,19 @@ def test_found(corpus, kind, least):
     assert len(want & got) >= least * len(want) and len(got - want) <= 0.03 * len(got)
 
 
+def test_furniture_that_ends_like_a_sentence(spark):
+    rng = random.Random(6)
+    rows, truth = [], set()
+    for i in range(12):
+        r, t = make_file(f"file{chr(97 + i)}", rng)
+        # headers of a society's proceedings, numbers with a full stop, body lines that close sentences
+        rows += [(d, p, s, k, f"{c}, Vol. {i + 2}." if s == 0 else f"{c}." if s == 12 or s in (3, 7, 10) and c[-1] != "-" else c, y) for d, p, s, k, c, y in r]
+        truth |= {x for x in t if x[3] == "furniture"}
+    df = spark.createDataFrame([(d, p, s, k, c, (50.0, y, 500.0, y + 10), "") for d, p, s, k, c, y in rows], SCHEMA)
+    got = found(S.repaired_lines(df), "furniture")
+    assert len(truth & got) >= 0.99 * len(truth) and len(got - truth) <= 0.01 * len(got)
+
+
 def test_each_line_once_and_paragraphs_whole(corpus):
     df, _, lines = corpus
     assert lines.count() == df.where("type = 'text' AND content rlike '[^ ]' AND doc_id IS NOT NULL AND page_idx IS NOT NULL").dropDuplicates(["doc_id", "page_idx", "span_id"]).count()
