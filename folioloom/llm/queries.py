@@ -166,8 +166,8 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixing.shares(mixing.mix(counted, targets), counted, targets)
 
 
-#: Strata of the calibration, and the largest labelled holdout of each.
-STRATA, HOLDOUT = (*LANGUAGES, "other"), 1000
+#: Strata of the calibration.
+STRATA = (*LANGUAGES, "other")
 
 
 def _by_stratum(spark: SparkSession, root: str) -> DataFrame:
@@ -176,8 +176,8 @@ def _by_stratum(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _cutoffs(spark: SparkSession, root: str) -> list[tuple]:
-    sample = repetition.sample_per_stratum(_by_stratum(spark, root), "doc_id", HOLDOUT)
-    return repetition.calibrate(repetition.planted(sample, "doc_id"), list(STRATA))
+    """Calibrated on all documents, each with a repetition planted in it."""
+    return repetition.calibrate(repetition.planted(_by_stratum(spark, root), "doc_id"), list(STRATA))
 
 
 def p10_cutoffs(spark: SparkSession, root: str) -> DataFrame:

@@ -5,14 +5,14 @@ punctuation and blanks don't count) and single Han characters. A *window* is
 the shortest stretch of units from a position on that weighs at least one, a
 word weighing 1/8 and a Han character 1/15. A window that occurred before, at
 any smaller position, is repeated content; the share is that of the letters of
-all units in such windows. Windows are found by hashes and confirmed unit by
-unit, so the share is exact.
+all units in such windows. Windows of long or mixed texts are found by hashes
+and confirmed unit by unit, so the share is exact.
 
 Which measured share rejects a document is not guessed: ``calibrate`` takes a
 labelled holdout and chooses, for each stratum, the smallest cutoff on a grid
 for which the exact (Clopper-Pearson) upper bound of the rate of false
 rejections stays below a limit, with the confidence divided by the number of
-strata. The labels don't come from the measure: ``planted`` takes texts of the
+strata; here the holdout is made of all documents. The labels don't come from the measure: ``planted`` takes texts of the
 corpus, reduces them to what is new in them and repeats a passage of them until
 it makes up a share drawn beforehand, so that the true share is known by
 construction.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -35,6 +36,8 @@ from folioloom.llm.arrow import map_rows
 
 #: Weights in 120ths: eight words or fifteen Han characters make a window.
 WORD, HAN, WINDOW = 15, 8, 120
+#: Texts of up to so many units are compared window by window, longer ones by hashes.
+SHORT = 4096
 #: The share from which a document counts as repetitive.
 LIMIT = 1 / 3
 
@@ -69,24 +72,37 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def measure(text: str | None) -> tuple[int, int]:
-    """(letters, letters in repeated windows) of a text."""
-    parts = units(text) if text else []
-    n = len(parts)
-    letters = np.fromiter(map(len, parts), np.int64, n)
-    total = int(letters.sum())
-    if n < 2:
-        return total, 0
+def _again(parts: list[str]) -> tuple[list[int], list[int]]:
+    """(starts, sizes) of the windows that occurred before, in order."""
+    if not parts or len(parts) > SHORT:
+        return _again_by_hash(parts)
+    if max(parts) < "㐀":
+        size = -(-WINDOW // WORD)
+    elif min(parts) >= "㐀" and all(map(_HAS_HAN.match, parts)):
+        size = -(-WINDOW // HAN)
+    else:
+        return _again_by_hash(parts)
+    # units of one weight: all windows are as long
+    windows = list(zip(*(parts[k:] for k in range(size)), strict=False))
+    first = dict(zip(reversed(windows), range(len(windows) - 1, -1, -1), strict=True))
+    if len(first) == len(windows):
+        return [], []
+    starts = [i for i, w in enumerate(windows) if first[w] != i]
+    return starts, [size] * len(starts)
+
+
+def _again_by_hash(parts: list[str]) -> tuple[list[int], list[int]]:
+    n, none = len(parts), ([], [])
     number: dict[str, int] = {}
     ids = np.fromiter((number.setdefault(p, len(number)) for p in parts), np.int64, n)
     if len(number) == n:
-        return total, 0
+        return none
     han = np.fromiter((HAN if p >= "㐀" and len(p) == 1 and _HAS_HAN.match(p) else WORD for p in parts), np.int64, n)
     reach = np.concatenate([[0], np.cumsum(han)])
     stop = np.searchsorted(reach, reach[:-1] + WINDOW)
     starts = np.flatnonzero(stop <= n)
     if len(starts) < 2:
-        return total, 0
+        return none
     size = stop[starts] - starts
     with np.errstate(over="ignore"):
         # h[i] sums mixed ids times powers; a window's hash is its part of the sum, shifted to a common power
@@ -99,16 +115,28 @@ def measure(text: str | None) -> tuple[int, int]:
     earlier = first[back]
     again = np.flatnonzero(earlier < np.arange(len(starts)))
     if not len(again):
-        return total, 0
+        return none
     a, b, k = starts[again], starts[earlier[again]], size[again]
     same = np.ones(len(again), bool)
     for step in range(int(k.max())):
         inside = step < k
         same[inside] &= ids[a[inside] + step] == ids[b[inside] + step]
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, a[same], 1)
-    np.add.at(edge, a[same] + k[same], -1)
-    return total, int(letters[np.cumsum(edge[:-1]) > 0].sum())
+    return a[same].tolist(), k[same].tolist()
+
+
+def measure(text: str | None) -> tuple[int, int]:
+    """(letters, letters in repeated windows) of a text."""
+    return measure_units(units(text) if text else [])
+
+
+def measure_units(parts: list[str]) -> tuple[int, int]:
+    """``measure`` of the text that these are the units of."""
+    letters = list(accumulate(map(len, parts), initial=0))
+    again = end = 0
+    for start, size in zip(*_again(parts), strict=True):
+        again += letters[start + size] - letters[max(start, end)]
+        end = start + size
+    return letters[-1], again
 
 
 def shares(texts: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -159,6 +187,9 @@ def calibrate(holdout: DataFrame, strata: list[str], score: str = "score", label
     def smallest(r: dict) -> tuple[float, int, float]:
         best = (math.inf, 0, 1.0)
         for k in range(grid, 0, -1):
+            # the bound is never below the rate itself; of a large holdout it is dear
+            if r[f"k{k}"] > rate * r["n"]:
+                break
             bound = upper_bound(r[f"k{k}"], r["n"], error / (len(strata) + 1))
             if bound > rate:
                 break
@@ -192,26 +223,16 @@ def plant(text: str | None, luck: float) -> tuple[str, float] | None:
     of it, a window long or longer, is put in again behind itself, as often as
     the share needs. All letters of the copies are repeated, no others.
     """
-    parts = units(text or "")
-    weight = [HAN if _HAS_HAN.match(p) else WORD for p in parts]
-    seen: set[tuple[str, ...]] = set()
-    reach = [0]
-    for w in weight:
-        reach.append(reach[-1] + w)
-    j = 0
-    for i in range(len(parts)):
-        while j < len(parts) and reach[j] - reach[i] < WINDOW:
-            j += 1
-        if reach[j] - reach[i] < WINDOW:
-            break
-        window = tuple(parts[i:j])
-        if window in seen:
-            parts = parts[: j - 1]  # up to there every window is new
-            break
-        seen.add(window)
-    letters = [0]
-    for p in parts:
-        letters.append(letters[-1] + len(p))
+    made = _planted_units(units(text or ""), luck)
+    return made and (" ".join(made[0]), made[1])
+
+
+def _planted_units(parts: list[str], luck: float) -> tuple[list[str], float] | None:
+    starts, sizes = _again(parts)
+    if starts:
+        parts = parts[: starts[0] + sizes[0] - 1]  # up to there every window is new
+    reach = list(accumulate((HAN if p >= "㐀" and _HAS_HAN.match(p) else WORD for p in parts), initial=0))
+    letters = list(accumulate(map(len, parts), initial=0))
     base = letters[-1]
     wanted = luck * 2 / 3
     # the passage is at least a window; one copy of it is at least that share
@@ -227,22 +248,22 @@ def plant(text: str | None, luck: float) -> tuple[str, float] | None:
     # units that no text holds, each once, keep windows from running on over the borders of the copies
     marks = ["ǃ" * (k + 2) for k in range(copies + 1)]
     full = [*parts[:j], *[u for k in range(copies) for u in (marks[k], *passage)], marks[copies], *parts[j:]]
-    return " ".join(full), copies * size / (base + copies * size + sum(map(len, marks)))
+    return full, copies * size / (base + copies * size + sum(map(len, marks)))
 
 
-def planted(sample: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+def planted(documents: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """(stratum, score, label): the measured share of a text with a planted repetition, and whether its true share reaches the limit."""
     schema = T.StructType([T.StructField("stratum", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("label", T.BooleanType())])
     luck = F.pmod(F.xxhash64(id_col, F.lit("plant")), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     def rows(columns: list[list]) -> Iterator[tuple]:
         for stratum, text, drawn in zip(*columns, strict=True):
-            made = plant(text, drawn)
+            made = _planted_units(units(text or ""), drawn)
             if made:
-                n, again = measure(made[0])
+                n, again = measure_units(made[0])
                 yield stratum, again / n if n else 0.0, made[1] >= LIMIT
 
-    return map_rows(sample, {"stratum": "stratum", "text": text_col, "luck": luck}, schema, rows)
+    return map_rows(documents, {"stratum": "stratum", "text": text_col, "luck": luck}, schema, rows)
 
 
 def brute_share(text: str | None) -> float:

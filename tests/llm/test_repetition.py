@@ -5,6 +5,7 @@ import math
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from folioloom.llm import queries as Q
 from folioloom.llm import repetition as R
 
 
@@ -64,6 +65,21 @@ def test_calibrated_on_planted_texts(spark):
     assert all(r[1] == R.LIMIT and r[4] <= 0.02 for r in found)
 
 
+def test_cutoffs_rest_on_all_documents(spark, tmp_path):
+    rows = [(k, " ".join(WORDS[(k * 7 + i * (k % 5 + 1)) % 600] for i in range(60)), "en" if k % 4 else "de") for k in range(3200)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    sound = {r.stratum: r["count"] for r in R.planted(documents.withColumnRenamed("lang", "stratum"), "doc_id").where("NOT label").groupBy("stratum").count().collect()}
+    got = {r.stratum: r.sound for r in Q.p10_cutoffs(spark, str(tmp_path)).collect()}
+    assert sound["en"] > 1000 and {s: got[s] for s in sound} == sound
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*"abcdefgh"]), max_size=150) | st.lists(st.sampled_from([*"水位表压"]), max_size=150))
+def test_windows_by_comparison_and_by_hash(parts):
+    assert R._again(parts) == R._again_by_hash(parts)
+
+
 def test_frames(spark):
     text = "alpha beta gamma delta epsilon zeta eta theta. " * 2
     df = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (3, text, "c"), (3, text, "c"), (4, "x " * 200_000, "c")], "doc_id long, text string, letters string")
