@@ -6,7 +6,7 @@ automaton over byte structure finds the maximal well-formed multibyte spans
 Well-formed UTF-8 decides by itself, unless its characters could stand side by
 side in sound text (``_excused``: letters, or a capital before a closing sign).
 Only then, and where the structure is weaker, a small model of neighbouring
-characters judges, fitted on a sample of the corpus: such a span is decoded
+characters judges, fitted on the whole corpus: such a span is decoded
 only if what comes out is clearly more usual than what stood there. Rounds
 repeat, so text that was damaged twice is restored twice. Confusions of two
 single-byte encodings have no byte structure; there the words with unusual
@@ -22,19 +22,22 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.arrow import local, map_rows
+from folioloom.llm.arrow import SLICE, local, map_rows
 from folioloom.llm.canon import canonical
+from folioloom.runtime import checkpointed
 
 #: Single-byte encodings that files are wrongly read or written with. Undefined bytes of "windows" sets show as control characters.
 SINGLE = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "koi8_r", "cp866", "mac_cyrillic", "iso8859_2", "iso8859_15")
@@ -46,7 +49,7 @@ ROUNDS = 4
 #: Sound words that a worker remembers; when full, it starts anew. Only speed depends on it.
 MEMO = 100_000
 
-#: Neighbours in a smaller share of the sample's texts are unusual.
+#: Neighbours in a smaller share of the texts are unusual.
 RARE = 0.0005
 _CLASS = dict.fromkeys("0123456789", "0") | dict.fromkeys("\t\n\r\u00a0\u3000", " ")
 _NONE = "￿"
@@ -97,7 +100,7 @@ _KINDS = _Kinds()
 
 @dataclass
 class Model:
-    """In how many sample texts each character and each pair of neighbours occurs.
+    """In how many texts each character and each pair of neighbours occurs.
 
     In pairs, all digits are one character, all Chinese characters another, and
     letters beyond ASCII count without their case.
@@ -171,30 +174,123 @@ def fit(texts: Iterable[str]) -> Model:
     return _count([r.text for r in results if "lost" not in r.kinds])
 
 
-def fit_frame(texts: DataFrame, text_col: str = "text") -> Model:
-    """``fit`` by all executors: each counts its part of the sample, and only the sums of characters and pairs reach the driver."""
-    spark = texts.sparkSession
-    sample = texts.select(F.col(text_col).alias("text")).where("text IS NOT NULL").distinct().repartition(spark.sparkContext.defaultParallelism)
-    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.LongType())])
+class _Tally:
+    """``_tally`` of many texts, by stratum: characters are counted in arrays, a bounded number of texts at a time."""
 
-    def counted(prepare: Callable[[str], str | None]) -> Model:
-        def rows(columns: list[list]) -> Iterator[tuple]:
-            n, single, pair = _tally(t for t in map(prepare, columns[0]) if t is not None)
-            yield "", n
-            yield from single.items()
-            yield from pair.items()
+    def __init__(self) -> None:
+        self.sums: dict[int, Counter[str]] = defaultdict(Counter)
+        self.waiting: dict[int, list[str]] = defaultdict(list)
+        self.size: Counter[int] = Counter()
+        self.kind = np.full(0x110000, -1, np.int64)
 
-        sums = map_rows(sample, {"text": "text"}, schema, rows).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1 OR key = ''").collect()
-        found = {r.key: r.n for r in sums}
-        return Model(found.pop("", 0), {k: n for k, n in found.items() if len(k) == 1}, {k: n for k, n in found.items() if len(k) == 2})
+    def add(self, stratum: int, text: str) -> None:
+        self.waiting[stratum].append(f" {' '.join(text.split())} ")
+        self.size[stratum] += len(text)
+        if self.size[stratum] > 1 << 20 or len(self.waiting[stratum]) >= 2048:
+            self.count(stratum)
 
-    shared = spark.sparkContext.broadcast(counted(_without_certain))
+    def change(self, stratum: int, text: str, sign: int) -> None:
+        n, single, pair = _tally([text])
+        for key, k in (("", n), *single.items(), *pair.items()):
+            self.sums[stratum][key] += sign * k
 
-    def sound(text: str) -> str | None:
-        r = local(shared, Repair)(text)
-        return None if "lost" in r.kinds else r.text
+    def count(self, stratum: int) -> None:
+        texts, sums = self.waiting.pop(stratum, []), self.sums[stratum]
+        self.size[stratum] = 0
+        if not texts:
+            return
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        own = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+        for c in np.unique(codes[self.kind[codes] < 0]).tolist():
+            self.kind[c] = ord(_kind(chr(c)))
+        kinds = self.kind[codes]
+        letters = np.flatnonzero(np.bincount(codes, minlength=0x110000) + np.bincount(kinds, minlength=0x110000))
+        place = np.zeros(0x110000, np.int64)
+        place[letters] = np.arange(len(letters))
+        holds = np.zeros((len(texts), len(letters)), bool)
+        holds[own, place[codes]] = holds[own, place[kinds]] = True
+        alphabet = np.flatnonzero(np.bincount(kinds, minlength=0x110000))
+        place[alphabet] = np.arange(len(alphabet))
+        within = own[:-1] == own[1:]
+        pairs = (place[kinds[:-1]] * len(alphabet) + place[kinds[1:]])[within]
+        if len(alphabet) <= 2048:
+            found = np.flatnonzero(np.bincount(pairs, minlength=len(alphabet) ** 2))
+            at = np.zeros(len(alphabet) ** 2, np.int64)
+            at[found] = np.arange(len(found))
+            back = at[pairs]
+        else:
+            found, back = np.unique(pairs, return_inverse=True)
+        meets = np.zeros((len(texts), len(found)), bool)
+        meets[own[:-1][within], back] = True
+        sums[""] += len(texts)
+        for c, k in zip(letters.tolist(), holds.sum(axis=0).tolist(), strict=True):
+            sums[chr(c)] += k
+        for p, k in zip(found.tolist(), meets.sum(axis=0).tolist(), strict=True):
+            sums[chr(alphabet[p // len(alphabet)]) + chr(alphabet[p % len(alphabet)])] += k
+
+    def rows(self) -> Iterator[tuple[int, str, int]]:
+        for stratum in list(self.waiting):
+            self.count(stratum)
+        for stratum, sums in self.sums.items():
+            yield from ((stratum, key, k) for key, k in sums.items() if k)
+        self.sums.clear()
+
+
+def fit_frame(texts: DataFrame, text_col: str = "text", quotas: dict[str, int] | None = None) -> Model:
+    """``fit`` on all texts by all executors: each counts its part, and only the sums of characters and pairs reach the driver.
+
+    With ``quotas``, each ``stratum`` counts as so many texts at most: its sums,
+    taken over all its texts, are scaled down to them, so that no language and
+    no table outweighs the others. The second fit only counts what the first
+    model changes.
+    """
+    spark, names = texts.sparkSession, list(quotas or {"": 0})
+    number = F.array_position(F.array(*map(F.lit, names)), F.col("stratum") if quotas else F.lit("")).cast("int") - 1
+    parts = max(spark.sparkContext.defaultParallelism, texts.rdd.getNumPartitions())
+    whole = texts.select(F.col(text_col).alias("text"), number.alias("k")).where("text IS NOT NULL").repartition(parts, "text").groupBy("text").agg(F.min("k").alias("k"))
+
+    def summed(step: Callable[[_Tally, int, str], None]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def made() -> Iterator[pa.RecordBatch]:
+                rows = list(tally.rows())
+                for i in range(0, len(rows), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(v, x) for v, x in zip(zip(*rows[i : i + 50_000], strict=True), (pa.int32(), pa.string(), pa.int64()), strict=True)], names=["k", "key", "n"])
+
+            tally = _Tally()
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE):
+                    for text, k in zip(*(c.to_pylist() for c in batch.slice(start, SLICE).columns), strict=True):
+                        step(tally, k, text)
+                if sum(map(len, tally.sums.values())) > 1_000_000:
+                    yield from made()
+            yield from made()
+
+        rows = whole.select("text", "k").mapInArrow(run, "k int, key string, n long")
+        return rows.groupBy("key").agg(*[F.sum(F.when(F.col("k") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(names))])
+
+    def model(sums: DataFrame) -> Model:
+        rows = sums.where(" + ".join(f"n{i}" for i in range(len(names))) + " > 1 OR key = ''").collect()
+        found = {r[0]: r[1:] for r in rows}
+        sizes = found.pop("", (0,) * len(names))
+        scale = [min(1.0, quotas[s] / n) if quotas and n else 1 for s, n in zip(names, sizes, strict=True)]
+        counts = {key: sum(n * w for n, w in zip(own, scale, strict=True)) for key, own in found.items()}
+        return Model(round(sum(n * w for n, w in zip(sizes, scale, strict=True))), *({key: n for key, n in counts.items() if len(key) == size and n > 1} for size in (1, 2)))
+
+    first = checkpointed(summed(lambda tally, k, text: tally.add(k, _without_certain(text))))
+    shared = spark.sparkContext.broadcast(model(first))
+
+    def changed(tally: _Tally, k: int, text: str) -> None:
+        if text.isascii() and not _LOST.search(text):
+            return
+        before, r = _without_certain(text), local(shared, Repair)(text)
+        lost = "lost" in r.kinds
+        if lost or r.text != before:
+            tally.change(k, before, -1)
+            if not lost:
+                tally.change(k, r.text, 1)
 
-    return counted(sound)
+    both = first.unionByName(summed(changed))
+    return model(both.groupBy("key").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(names))]))
 
 
 @lru_cache(maxsize=None)
@@ -543,9 +639,9 @@ class Repair:
         return most, name, "".join([*parts, text[last:]])
 
 
-def share(texts: DataFrame, text_col: str = "text") -> Broadcast:
-    """The fitted model for the executors; it is as small as its sample is bounded."""
-    return texts.sparkSession.sparkContext.broadcast(fit_frame(texts, text_col))
+def share(texts: DataFrame, text_col: str = "text", quotas: dict[str, int] | None = None) -> Broadcast:
+    """The fitted model for the executors; with quotas it holds what occurs in more than one of the texts these add up to."""
+    return texts.sparkSession.sparkContext.broadcast(fit_frame(texts, text_col, quotas))
 
 
 def repaired(texts: DataFrame, model: Broadcast, keep: list[str], text_col: str = "content") -> DataFrame:

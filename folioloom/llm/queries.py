@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioloom.llm import bpe, canon, language, markup, mixing, mojibake, repetition, scan, split
 from folioloom.llm.arrow import local
 from folioloom.llm.labels import LANGUAGES, SPELLINGS, normal_label
-from folioloom.llm.training import training_sample, training_texts
+from folioloom.llm.training import BLOCKS, PER_LABEL, training_texts
 from folioloom.runtime import checkpointed, read, spread
 
 
@@ -134,10 +134,11 @@ def p6_paths(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _encoding_model(spark: SparkSession, root: str) -> Broadcast:
-    """Fitted on the bounded samples of documents and of blocks, as blocks hold bullets and references that documents lack."""
-    documents = read(spark, root, "documents", "doc_id", "text", "lang")
-    blocks = read(spark, root, "blocks", "block_id", "content", "type").select(F.col("block_id").alias("doc_id"), F.col("content").alias("text"), F.lit(None).cast("string").alias("lang"))
-    return mojibake.share(training_sample(documents).unionByName(training_sample(blocks, 3000)))
+    """Fitted on all documents and all blocks, as blocks hold bullets and references that documents lack; each label counts as at most PER_LABEL texts, the blocks as at most BLOCKS."""
+    documents = read(spark, root, "documents", "text", "lang").select("text", F.coalesce(normal_label(F.col("lang")), F.lit("other")).alias("stratum"))
+    blocks = read(spark, root, "blocks", "content").select(F.col("content").alias("text"), F.lit("blocks").alias("stratum"))
+    quotas = dict.fromkeys((*LANGUAGES, "other"), PER_LABEL) | {"blocks": BLOCKS}
+    return mojibake.share(documents.unionByName(blocks).where(F.length(F.trim("text")) >= 1), quotas=quotas)
 
 
 def p7_restored(spark: SparkSession, root: str) -> DataFrame:

@@ -10,6 +10,8 @@ from folioloom.llm.repetition import sample_per_stratum
 
 #: At most so many texts of each language label (and of none), and texts of at most so many characters.
 PER_LABEL, MOST_CHARS = 500, 20_000
+#: As how many texts all blocks count at most beside the labels.
+BLOCKS = 3000
 
 
 def training_sample(documents: DataFrame, per_label: int = PER_LABEL) -> DataFrame:

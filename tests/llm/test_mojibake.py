@@ -3,6 +3,7 @@
 import pytest
 
 from folioloom.llm import mojibake as M
+from folioloom.llm import queries as Q
 
 SENTENCES = [
     "Das größere Gefälle übersteigt die äußere Fläche während der Prüfung.",
@@ -110,6 +111,18 @@ def test_fit_by_executors(spark):
     assert M.fit_frame(spark.createDataFrame([], "text string")).texts == 0
 
 
+def test_model_rests_on_all_texts(spark, tmp_path):
+    # 500 of 2000 documents hold one sign, long ones another; half of 4000 blocks hold a third
+    long = "þ " + "a longer text " * 2000
+    documents = [(k, f"number {k} {'œuvre' if k % 4 == 0 else ''} {long if k % 250 == 1 else ''}", "en") for k in range(2000)]
+    blocks = [(k, f"block {k} {'§' if k % 2 else ''}", "text") for k in range(4000)]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(blocks, "block_id long, content string, type string").write.parquet(f"{tmp_path}/blocks.parquet")
+    model = Q._encoding_model(spark, str(tmp_path)).value
+    # scaled to 500 documents of a label and 3000 blocks
+    assert model.texts == 3500 and (model.single["œ"], model.single["þ"], model.single["§"]) == (125, 2, 1500) and model.pair["œu"] == 125
+
+
 def test_twice_damaged(repair):
     text = SENTENCES[0]
     twice = wrong(wrong(text, "utf-8", "latin-1"), "utf-8", "latin-1")
