@@ -70,7 +70,8 @@ CERTAIN = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "iso8859
 _FAMILIAR = re.compile("[\u00a0-\u00ff\u0152\u0153\u2013\u2014\u2018-\u201e\u2022\u2026\u20ac\u2122\u0401\u0410-\u044f\u0451\u3000-\u3002\u4e00-\u9fff\uff01-\uff5e]")
 _NOT_ASCII = re.compile("[^\x00-\x7f]")
 _HIGH = re.compile("[\x80-\xff]")
-_BLANKS = re.compile("[ \\t\\r\\n]+")
+#: Characters beyond ASCII whose kind is an ASCII character.
+_BECOMES_ASCII = re.compile("[\u00a0\u0130\u212a\u3000]")
 _LOST = re.compile("[�\x80-\x9f]")
 _WORD = re.compile(r"\S+")
 _INNER_CAPITAL = regex.compile(r"\p{L}\p{Lu}\p{Ll}|\p{Ll}\p{Lu}")
@@ -458,13 +459,19 @@ class Repair:
         return Result(text, tuple(dict.fromkeys(kinds)))
 
     def _odd(self, word: str) -> bool:
-        line, unusual = f" {word} ", self.model.unusual
+        line, model = f" {word} ", self.model
+        if not _BECOMES_ASCII.search(word):
+            kinds = line.translate(_KINDS)
+            if any(model.pair.get(x + y, 0) < model.least for x, y in set(zip(kinds, kinds[1:], strict=False)) if not (x + y).isascii()):
+                return True
+            return _HAN in kinds and any(_han(c) and model.single.get(c, 0) < 2 for c in set(word))
+        unusual = model.unusual
         return any(unusual(line[i], line[i + 1]) for i in {n.start() + d for n in _NOT_ASCII.finditer(word) for d in (0, 1)})
 
     def _suspect(self, text: str) -> bool:
         """Some neighbours, one of them not ASCII, are unusual. Words that were sound before needn't be looked at again."""
         usual = self.usual
-        for word in _BLANKS.split(text):
+        for word in set(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")):
             if word.isascii() or word in usual:
                 continue
             if self._odd(word):

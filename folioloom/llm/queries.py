@@ -53,7 +53,7 @@ def _judged_form(model: Broadcast) -> Callable[[], Callable[[str], str]]:
 
 
 def _segments(spark: SparkSession, root: str, chosen: Column) -> DataFrame:
-    filters = spark.sparkContext.broadcast(language.fit(training_texts(read(spark, root, "documents", "doc_id", "text", "lang"))))
+    filters = spark.sparkContext.broadcast(language.fit_frame(training_texts(spread(read(spark, root, "documents", "text", "lang")))))
     blocks = spread(read(spark, root, "blocks", "block_id", "doc_id", "type", "content")).where(chosen)
     return language.segment_texts(blocks, filters, ["block_id", "doc_id", "type"], prepare=_judged_form(_encoding_model(spark, root)))
 
@@ -135,7 +135,7 @@ def p6_paths(spark: SparkSession, root: str) -> DataFrame:
 
 def _encoding_model(spark: SparkSession, root: str) -> Broadcast:
     """Fitted on all documents and all blocks, as blocks hold bullets and references that documents lack; each label counts as at most PER_LABEL texts, the blocks as at most BLOCKS."""
-    documents = read(spark, root, "documents", "text", "lang").select("text", F.coalesce(normal_label(F.col("lang")), F.lit("other")).alias("stratum"))
+    documents = training_texts(read(spark, root, "documents", "text", "lang")).select("text", F.col("label").alias("stratum"))
     blocks = read(spark, root, "blocks", "content").select(F.col("content").alias("text"), F.lit("blocks").alias("stratum"))
     quotas = dict.fromkeys((*LANGUAGES, "other"), PER_LABEL) | {"blocks": BLOCKS}
     return mojibake.share(documents.unionByName(blocks).where(F.length(F.trim("text")) >= 1), quotas=quotas)

@@ -1,4 +1,4 @@
-"""The bounded sample of labelled texts on which the small models of this package are fitted."""
+"""The labelled texts on which the small models of this package are fitted."""
 
 from __future__ import annotations
 
@@ -6,28 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.llm.labels import normal_label
-from folioloom.llm.repetition import sample_per_stratum
 
-#: At most so many texts of each language label (and of none), and texts of at most so many characters.
-PER_LABEL, MOST_CHARS = 500, 20_000
-#: As how many texts all blocks count at most beside the labels.
-BLOCKS = 3000
+#: As how many texts those of a language label (or of none) count at most, and all blocks beside them.
+PER_LABEL, BLOCKS = 500, 3000
 
 
-def training_sample(documents: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
-    """(stratum, doc_id, text) of a bounded sample, the same for every order and partitioning of the rows.
-
-    ``stratum`` is the label or "other". Rows are chosen by the hash of their
-    id before any text is read, so any share of damaged, repeated and
-    mislabelled texts is in the sample as in the whole; the models allow for
-    them. Ties of equal ids keep all their rows. Of the chosen rows, null,
-    blank and longer texts aren't used.
-    """
-    rows = documents.select("doc_id", "text", F.coalesce(normal_label(F.col("lang")), F.lit("other")).alias("stratum"))
-    return sample_per_stratum(rows, "doc_id", per_label).where(F.length(F.trim("text")).between(1, MOST_CHARS)).select("stratum", "doc_id", "text")
-
-
-def training_texts(documents: DataFrame, per_label: int = PER_LABEL) -> list[tuple[str, str]]:
-    """(label or "other", text) of ``training_sample``: at most labels x per_label rows, the documented bound of the fit."""
-    found = training_sample(documents, per_label).collect()
-    return [(r.stratum, r.text) for r in sorted(found, key=lambda r: (r.doc_id, r.text))]
+def training_texts(documents: DataFrame) -> DataFrame:
+    """(label or "other", text) of all texts that aren't null or blank; the models allow for damaged, repeated and mislabelled ones."""
+    rows = documents.select(F.coalesce(normal_label(F.col("lang")), F.lit("other")).alias("label"), "text")
+    return rows.where(F.length(F.trim("text")) >= 1)

@@ -38,6 +38,21 @@ def test_bloom_slices_hold_what_was_put_in():
     assert np.allclose(hits, f.chance, rtol=0.25, atol=2e-4)
 
 
+def test_filters_rest_on_all_documents(spark, tmp_path):
+    en, de = "The nominal pressure confirms the external settlement number", "Der regionale Bericht begrenzt den Vertrag Nummer"
+    # n-grams of "zyxw" stand in every hundredth document, and so do those of "qjv", in texts of any length
+    documents = [(k, f"{en if k % 2 else de} {k} {'zyxw' if k % 100 == 1 else ''} {'qjv ' * 6000 if k % 100 == 3 else ''}", "en" if k % 2 else "de") for k in range(2400)]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    texts = Q.training_texts(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    filters = L.fit_frame(texts)
+    assert (filters.masks(L.grams("zyxw")[0]) == 1).all() and (filters.masks(L.grams("qjv")[0]) == 1).all()
+    # below PER_LABEL texts a label: as fitted by the driver
+    few = texts.where("length(text) < 900").limit(600)
+    here = L.fit([(r.label, r.text) for r in few.collect()])
+    assert (L.fit_frame(few).slices == here.slices).all()
+    assert not L.fit_frame(texts.limit(0)).slices.any()
+
+
 def test_mixed_text_is_cut_at_sentences(judge):
     de = "Der regionale Bericht begrenzt den kürzeren Vertrag ohne weitere Behandlung."
     en = "The nominal pressure confirms the external settlement over several decades."
