@@ -156,3 +156,24 @@ def test_frames(spark, repair):
     assert out[0] == (1, None, False) and out[1] == (2, "", False)
     assert out[2] == out[3] == (3, SENTENCES[0], True) and out[4][1] == (SENTENCES[0] + " ") * 2000 + SENTENCES[0]
     assert M.repaired(df.limit(0), model, ["block_id"]).count() == 0
+
+
+def test_many_texts_at_once(repair, monkeypatch):
+    """As one by one, in any company; sound texts cost no look at their words."""
+    damaged = [wrong(SENTENCES[k], "utf-8", shown) for k, shown in ((0, "latin-1"), (1, "cp437"), (4, "cp1251"), (5, "latin-1"))] + [wrong(SENTENCES[0], "mac_roman", "cp1252"), wrong(SENTENCES[4], "koi8_r", "cp1251")]
+    odd = [None, "", " ", "\n", "plain", "lost �", "\x85", "a b", "Kelvin İ", "x\ud800", "龘龘", "\U0001d4b3 é", "Ã©"]
+    texts = [t for pair in zip(damaged * 9, SENTENCES * 6, strict=True) for t in pair] + odd
+    assert repair.all(texts) == [repair(t) for t in texts]
+    assert repair.all([]) == []
+    monkeypatch.setattr(M.Repair, "_suspect", None)
+    assert not any(r.damaged for r in repair.all(SENTENCES))
+
+
+def test_tally_in_arrays():
+    """Counts in arrays are those of the plain count, whatever the number of texts and signs."""
+    texts = ["", "\n", "İ K", "　", "x\ud800", "\U0001d4b3", *(f"{s} {k} {chr(0x4E00 + 3 * k)}" for k in range(300) for s in SENTENCES)]
+    tally = M._Tally()
+    for text in texts:
+        tally.add(2, text)
+    n, single, pair = M._tally(texts)
+    assert {key: k for _, key, k in tally.rows()} == {"": n, **single, **pair}
