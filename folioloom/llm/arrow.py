@@ -13,6 +13,22 @@ from pyspark.sql import types as T
 SLICE = 512
 
 
+#: Characters handled at a time where texts are joined.
+PORTION = 1 << 20
+
+
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in parts of no more characters than PORTION or of a single text."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if i > start and size + len(text) > PORTION:
+            yield texts[start:i]
+            start, size = i, 0
+        size += len(text)
+    if texts:
+        yield texts[start:]
+
+
 def map_rows(df: DataFrame, columns: dict[str, Column | str], schema: T.StructType, rows: Callable[[list[list]], Iterator[tuple] | list[tuple]]) -> DataFrame:
     """``rows`` gets the chosen columns as lists and gives result rows, any number of them.
 

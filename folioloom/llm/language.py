@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.arrow import SLICE, local, map_rows
+from folioloom.llm.arrow import SLICE, local, map_rows, portions
 from folioloom.llm.labels import LANGUAGES, file_label
 from folioloom.llm.training import PER_LABEL
 from folioloom.runtime import checkpointed
@@ -57,7 +57,8 @@ _PRIME = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
 _END = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s|$)|[。！？]+[”’」』）\"]*|\n+")
 
 _HAN_RUN = re.compile("[\u4e00-\u9fff]{3}")
-_CLOSED = re.compile(r"[.!?…。！？][-–—\"'”’»)\]」』）]*\s*$")
+#: Marks of the end, and what may stand behind them.
+_MARKS, _CLOSING = tuple(".!?…。！？"), "-–—\"'”’»)]」』）"
 
 
 @lru_cache(maxsize=1)
@@ -78,36 +79,65 @@ def _letters(text: str) -> np.ndarray:
     if len(codes) and codes.max() >= len(table):
         # the rarer planes hold Chinese letters and signs
         far = codes >= len(table)
-        return np.where(far, np.where(codes < 0x32000, codes, 32), table[np.where(far, 32, codes)]).astype(np.uint64)
-    return table[codes].astype(np.uint64)
+        return np.where(far, np.where(codes < 0x32000, codes, 32), table[np.where(far, 32, codes)])
+    return table[codes]
 
 
-def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, positions of the last letter) of all n-grams; words are padded with one blank, none reaches over it."""
-    codes = np.concatenate([[np.uint64(32)], _letters(text), [np.uint64(32)]])
+#: N-grams are hashed and looked up so many at a time, as these stay in a core's cache.
+BLOCK = 1 << 15
+
+
+def _by_size(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, positions of the last letter, ascending) of the n-grams of each size, then of the single Chinese characters."""
+    codes = np.full(len(text) + 2, 32, np.uint64)
+    codes[1:-1] = _letters(text)
     blank = codes == 32
-    keys, ends = [], []
+    inner, last = ~blank, max(0, len(text) - 1)
+    for n in SIZES:
+        m = max(0, len(codes) - n + 1)
+        good = inner[:m] | inner[n - 1 : n - 1 + m]
+        for i in range(1, n - 1):
+            good &= inner[i : i + m]
+        keys = [_hashed(codes[a : a + BLOCK + n - 1], n)[good[a : a + BLOCK]] for a in range(0, m, BLOCK)]
+        # one blank was put before the text; an n-gram that ends in the closing blank counts for the last letter
+        yield np.concatenate(keys or [codes[:0]]), np.clip(np.flatnonzero(good) + (n - 2), 0, last)
+    han = np.flatnonzero((codes >= 0x3400) & (codes < 0xA000))
+    yield _hashed(codes[han], 1), np.clip(han - 1, 0, last)
+
+
+def _hashed(codes: np.ndarray, n: int) -> np.ndarray:
+    """The keys of all stretches of n codes."""
+    m = max(0, len(codes) - n + 1)
+    h = np.full(m, n, np.uint64)
+    high = np.empty(m, np.uint64)
     with np.errstate(over="ignore"):
-        for n in SIZES:
-            if len(codes) < n:
-                continue
-            m = len(codes) - n + 1
-            good = ~(blank[:m] & blank[n - 1 : n - 1 + m])
-            for i in range(1, n - 1):
-                good &= ~blank[i : i + m]
-            at = np.flatnonzero(good)
-            h = np.full(len(at), n, np.uint64)
-            for i in range(n):
-                h = (h ^ codes[at + i]) * _PRIME[i % 4]
-                h ^= h >> np.uint64(29)
-            keys.append(h)
-            ends.append(at + n - 1)
-        han = np.flatnonzero((codes >= 0x3400) & (codes < 0xA000))
-        h = (np.uint64(1) ^ codes[han]) * _PRIME[0]
-        keys.append(h ^ (h >> np.uint64(29)))
-        ends.append(han)
-    # one blank was put before the text; an n-gram that ends in the closing blank counts for the last letter
-    return np.concatenate(keys), np.clip(np.concatenate(ends) - 1, 0, max(0, len(text) - 1))
+        for i in range(n):
+            h ^= codes[i : i + m]
+            h *= _PRIME[i % 4]
+            h ^= np.right_shift(h, np.uint64(29), out=high)
+    return h
+
+
+def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, positions of the last letter) of all n-grams; words are padded with one blank, none reaches over it."""
+    keys, ends = zip(*_by_size(text), strict=True)
+    return np.concatenate(keys), np.concatenate(ends)
+
+
+def _texts_with(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, in how many of the texts each occurs)."""
+    joined, starts = "\n".join(texts), np.cumsum([0, *(len(t) + 1 for t in texts)])
+    kept = []
+    for keys, ends in _by_size(joined):
+        # each text's keys are sorted, then all but the first of equal ones fall away
+        bounds = np.searchsorted(ends, starts).tolist()
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            keys[a:b].sort()
+        first = np.ones(len(keys), bool)
+        np.not_equal(keys[1:], keys[:-1], out=first[1:])
+        first[[a for a in bounds if a < len(keys)]] = True
+        kept.append(keys[first])
+    return np.unique(np.concatenate(kept), return_counts=True)
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
@@ -141,20 +171,22 @@ class Filters:
         return cls(slices, filled**HASHES)
 
     def masks(self, keys: np.ndarray) -> np.ndarray:
-        found = self.slices[_slots(keys)]
-        return np.bitwise_and.reduce(found, axis=0)
+        out = np.empty(len(keys), np.uint8)
+        for a in range(0, len(keys), BLOCK):
+            one, *more = _slots(keys[a : a + BLOCK])
+            found = self.slices[one]
+            for row in more:
+                found &= self.slices[row]
+            out[a : a + BLOCK] = found
+        return out
 
 
 def fit(samples: list[tuple[str, str]]) -> Filters:
     """Filters from (label, text) pairs; texts with other labels are left out of the first fit."""
     known = {lang: i for i, lang in enumerate(LANGUAGES)}
-    all_ = [grams(t)[0] for _, t in samples]
-    sets = [np.unique(keys) for keys in all_]
+    sets = [np.unique(grams(t)[0]) for _, t in samples]
     labels = [known.get(lang, -1) for lang, _ in samples]
-    filters = _fit(sets, labels)
-    judge = Judge(filters)
-    again = [_relabelled(judge, first, keys) for keys, first in zip(all_, labels, strict=True)]
-    return _fit(sets, again)
+    return _fit(sets, Judge(_fit(sets, labels)).relabelled(labels, [t for _, t in samples]))
 
 
 def _fit(sets: list[np.ndarray], labels: list[int]) -> Filters:
@@ -177,31 +209,29 @@ def fit_frame(documents: DataFrame) -> Filters:
     """
     known = {lang: i for i, lang in enumerate(LANGUAGES)}
     spark, width = documents.sparkSession, len(LANGUAGES)
+    names = [f"n{i}" for i in range(width)]
+
+    def counted(moves: Callable[[list[int], list[str]], Iterator[tuple[int, int, list[str]]]]) -> DataFrame:
+        """The sums of the texts that ``moves`` puts to a language (sign 1) or takes from it (sign -1)."""
 
-    def fitted(relabel: Callable[[str, np.ndarray], int]) -> Filters:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def made() -> pa.RecordBatch:
                 keys, n = _summed(waiting, width)
                 waiting.clear()
                 columns = [pa.array(keys.view(np.int64)), *(pa.array(n[:, i]) for i in range(width))]
-                return pa.RecordBatch.from_arrays(columns, names=["key", *(f"n{i}" for i in range(width))])
+                return pa.RecordBatch.from_arrays(columns, names=["key", *names])
 
             waiting: list[tuple[np.ndarray, np.ndarray]] = []
             texts = np.zeros((1, width), np.int64)
             for batch in batches:
                 for start in range(0, batch.num_rows, SLICE):
-                    found: list[list[np.ndarray]] = [[] for _ in LANGUAGES]
-                    for label, text in zip(*(c.to_pylist() for c in batch.slice(start, SLICE).columns), strict=True):
-                        keys = grams(text)[0]
-                        k = relabel(label, keys)
-                        if k >= 0:
-                            found[k].append(np.unique(keys))
-                            texts[0, k] += 1
-                    for k, own in enumerate(found):
-                        if own:
-                            keys, n = np.unique(np.concatenate(own), return_counts=True)
+                    labels, own = (c.to_pylist() for c in batch.slice(start, SLICE).columns)
+                    for k, sign, moved in moves([known.get(label, -1) for label in labels], own):
+                        texts[0, k] += sign * len(moved)
+                        for part in portions(moved):
+                            keys, n = _texts_with(part)
                             counts = np.zeros((len(keys), width), np.int64)
-                            counts[:, k] = n
+                            counts[:, k] = sign * n
                             waiting.append((keys, counts))
                     if sum(len(keys) for keys, _ in waiting) > 2_000_000:
                         waiting[:] = [_summed(waiting, width)]
@@ -211,9 +241,10 @@ def fit_frame(documents: DataFrame) -> Filters:
             waiting.append((np.full(1, _TEXTS, np.uint64), texts))
             yield made()
 
-        names = [f"n{i}" for i in range(width)]
         rows = documents.select("label", "text").mapInArrow(run, "key long, " + ", ".join(f"{n} long" for n in names))
-        sums = checkpointed(rows.groupBy("key").agg(*[F.sum(n).alias(n) for n in names]))
+        return rows.groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
+
+    def fitted(sums: DataFrame) -> Filters:
         total = sums.where(F.col("key") == _TEXTS).first()
         if total is None:
             return Filters.of(np.zeros(0, np.uint64), np.zeros(0, np.uint8))
@@ -237,8 +268,24 @@ def fit_frame(documents: DataFrame) -> Filters:
         slices[table["slot"].to_numpy()] = table["mask"].to_numpy()
         return Filters.filled(slices)
 
-    shared = spark.sparkContext.broadcast(fitted(lambda label, keys: known.get(label, -1)))
-    return fitted(lambda label, keys: _relabelled(local(shared, Judge), known.get(label, -1), keys))
+    def labelled(labels: list[int], own: list[str]) -> Iterator[tuple[int, int, list[str]]]:
+        for k in range(width):
+            if k in labels:
+                yield k, 1, [t for t, label in zip(own, labels, strict=True) if label == k]
+
+    def relabelled(labels: list[int], own: list[str]) -> Iterator[tuple[int, int, list[str]]]:
+        # texts that keep their label were counted with it
+        moved = [(was, now, t) for was, now, t in zip(labels, local(shared, Judge).relabelled(labels, own), own, strict=True) if was != now]
+        for k in range(width):
+            for side, sign in ((0, -1), (1, 1)):
+                texts = [m[2] for m in moved if m[side] == k]
+                if texts:
+                    yield k, sign, texts
+
+    first = checkpointed(counted(labelled))
+    shared = spark.sparkContext.broadcast(fitted(first))
+    both = first.unionByName(counted(relabelled)).groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
+    return fitted(checkpointed(both))
 
 
 #: The key of the number of texts.
@@ -252,13 +299,6 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]], width: int) -> tuple[np.
     return keys, np.stack([np.bincount(back, rows[:, i], len(keys)).astype(np.int64) for i in range(width)], axis=1)
 
 
-def _relabelled(judge: Judge, first: int, keys: np.ndarray) -> int:
-    shares, n = judge.shares_of(keys), len(keys)
-    order = np.argsort(shares)
-    sure = n >= LEAST_GRAMS and shares[order[-1]] - shares[order[-2]] >= LEAST_LEAD
-    return int(order[-1]) if sure else first if n < LEAST_GRAMS else -1
-
-
 def _belongs(counts: np.ndarray, sizes: np.ndarray, least: np.ndarray | int) -> np.ndarray:
     """The mask of the languages that each n-gram belongs to."""
     rates = counts / sizes
@@ -268,7 +308,7 @@ def _belongs(counts: np.ndarray, sizes: np.ndarray, least: np.ndarray | int) ->
 
 def _whole(sentence: str) -> bool:
     """Ends as a sentence does and has as many words as one (Chinese has no blanks); or its end may be among its lost characters and it is as long as one."""
-    if _CLOSED.search(sentence):
+    if sentence.rstrip().rstrip(_CLOSING).endswith(_MARKS):
         return len(sentence.split(None, LEAST_WORDS)) >= LEAST_WORDS or bool(_HAN_RUN.search(sentence))
     return "\ufffd" in sentence and sum(map(str.isalpha, sentence)) >= (LONG_HAN if _HAN_RUN.search(sentence) else LONG)
 
@@ -298,12 +338,42 @@ class Judge:
         found = np.bincount(self.filters.masks(keys), minlength=256)
         return self._corrected(found @ _BITS, len(keys))
 
+    def _shares_by(self, text: str, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(corrected shares, number of n-grams) of each piece of a text, given their ends."""
+        masks = 1 << len(LANGUAGES)
+        part = np.repeat(np.arange(len(cuts)) * masks, np.diff(cuts, prepend=0))
+        counts = np.zeros(len(cuts) * masks, np.int64)
+        for keys, ends in _by_size(text):
+            counts += np.bincount(part[ends] + self.filters.masks(keys), minlength=len(counts))
+        # how often each mask occurs in each piece, then how often each language; most masks don't
+        own = np.flatnonzero(counts)
+        rows, n = own // masks, counts[own]
+        bits = _BITS[own % masks] * n[:, None]
+        hits = np.stack([np.bincount(rows, bits[:, b], len(cuts)) for b in range(len(LANGUAGES))], axis=1)
+        sizes = np.bincount(rows, n, len(cuts)).astype(np.int64)
+        f = self.filters.chance
+        return np.clip((hits - sizes[:, None] * f) / (1 - f), 0, None) / np.maximum(sizes, 1)[:, None], sizes
+
+    def relabelled(self, labels: list[int], texts: list[str]) -> list[int]:
+        """The language each text is clearly in, -1 where none is; the given label of texts too short to tell."""
+        best: list[int] = []
+        for part in portions(texts):
+            # a line end keeps texts apart; it belongs to the text before
+            shares, n = self._shares_by("\n".join(part), np.cumsum([len(t) + 1 for t in part]))
+            top = np.sort(shares, axis=1)
+            sure = (n >= LEAST_GRAMS) & (top[:, -1] - top[:, -2] >= LEAST_LEAD)
+            best += np.where(sure, shares.argmax(axis=1), np.where(n < LEAST_GRAMS, -2, -1)).tolist()
+        return [label if k == -2 else k for label, k in zip(labels, best, strict=True)]
+
     def segments(self, text: str | None) -> list[Segment]:
         """Stretches of whole sentences in one language each."""
         return self.segments_of([text])[0]
 
     def segments_of(self, texts: list[str | None]) -> list[list[Segment]]:
-        """The segments of each text; the n-grams of all are looked up at once."""
+        """The segments of each text; the n-grams of many are looked up at once."""
+        return [found for part in portions([t or "" for t in texts]) for found in self._segments_at_once(part)]
+
+    def _segments_at_once(self, texts: list[str]) -> list[list[Segment]]:
         out: list[list[Segment]] = [[] for _ in texts]
         own = [k for k, t in enumerate(texts) if t and not t.isspace()]
         if not own:
@@ -320,27 +390,22 @@ class Judge:
             cuts += [base + e for e in ends]
             base += len(text) + 1  # a line end keeps texts apart; it belongs to the text before
             cuts[-1] = base
-        keys, ends_ = grams("\n".join(texts[k] for k in own))
-        part = np.minimum(np.searchsorted(np.array(cuts), ends_, side="right"), len(cuts) - 1)
-        # how often each mask occurs in each sentence, then how often each language
-        counts = np.bincount(part * 256 + self.filters.masks(keys), minlength=len(cuts) * 256).reshape(-1, 256)
-        hits, sizes = counts.astype(np.float64) @ _BITS.astype(np.float64), counts.sum(axis=1)
-        f = self.filters.chance
-        share = np.clip((hits - sizes[:, None] * f) / (1 - f), 0, None) / np.maximum(sizes, 1)[:, None]
+        share, sizes = self._shares_by("\n".join(texts[k] for k in own), np.array(cuts))
         top = np.sort(share, axis=1)
         sure = (sizes >= LEAST_GRAMS) & (top[:, -1] >= LEAST_SHARE) & (top[:, -1] - top[:, -2] >= LEAST_LEAD)
-        best = share.argmax(axis=1)
+        names = [LANGUAGES[b] for b in share.argmax(axis=1).tolist()]
         power = share**SHARPEN
         confidence = power.max(axis=1) / np.maximum(power.sum(axis=1), 1e-300)
+        told = [pair if s else None for *pair, s in zip(names, confidence.tolist(), sure.tolist(), strict=True)]
+        weights = sizes.tolist()
         for k, ends, at in pieces:
             text, stop = texts[k], at + len(ends)
-            told = [(LANGUAGES[b], float(c)) if s else None for b, c, s in zip(best[at:stop], confidence[at:stop], sure[at:stop], strict=True)]
             full = [_whole(text[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
-            out[k] = self._joined(ends, full, told, sizes[at:stop])
+            out[k] = self._joined(ends, full, told[at:stop], weights[at:stop])
         return out
 
     @staticmethod
-    def _joined(cuts: list[int], full: list[bool], told: list[tuple[str, float] | None], sizes: np.ndarray) -> list[Segment]:
+    def _joined(cuts: list[int], full: list[bool], told: list[list | None], sizes: list[int]) -> list[Segment]:
         out: list[Segment] = []
         weight = start = 0
         for end, whole, t, n in zip(cuts, full, told, sizes, strict=True):
@@ -353,20 +418,20 @@ class Judge:
                 continue
             lang, confidence = t
             if last and last.lang == lang:
-                mean = (last.confidence * weight + confidence * int(n)) / (weight + int(n))
+                mean = (last.confidence * weight + confidence * n) / (weight + n)
                 out[-1] = Segment(last.start, end, lang, mean, last.sentences + whole)
-                weight += int(n)
+                weight += n
             else:
                 out.append(Segment(start, end, lang, confidence, int(whole)))
-                weight = int(n)
+                weight = n
             start = end
         return out
 
 
-def segment_texts(texts: DataFrame, filters: Broadcast, keep: list[str], text_col: str = "content", prepare: Callable[[], Callable[[str], str]] | None = None) -> DataFrame:
+def segment_texts(texts: DataFrame, filters: Broadcast, keep: list[str], text_col: str = "content", prepare: Callable[[], Callable[[list[str | None]], list[str | None]]] | None = None) -> DataFrame:
     """The kept columns, seg_no, start_char, end_char, lang, confidence and the number of whole sentences, for each segment.
 
-    ``prepare`` makes, in each worker, a function that brings a text into the
+    ``prepare`` makes, in each worker, a function that brings texts into the
     form that is judged (positions then refer to that form).
     """
     schema = T.StructType(
@@ -379,7 +444,7 @@ def segment_texts(texts: DataFrame, filters: Broadcast, keep: list[str], text_co
         judge = local(filters, Judge)
         form = prepare() if prepare else None
         *kept_columns, raw = columns
-        texts = [form(t) if form and t is not None else t for t in raw]
+        texts = form(raw) if form else raw
         found = judge.segments_of(texts)
         for *kept, text, segments in zip(*kept_columns, texts, found, strict=True):
             for k, s in enumerate(segments):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.arrow import SLICE, local, map_rows
+from folioloom.llm.arrow import SLICE, local, map_rows, portions
 from folioloom.llm.canon import canonical
 from folioloom.runtime import checkpointed
 
@@ -575,7 +575,7 @@ class _Screen:
 
 
 def _all_without_certain(texts: list[str]) -> list[str]:
-    return [_without_certain(t) if c else t for t, c in zip(texts, _Line(texts).certain().tolist(), strict=True)]
+    return [_without_certain(t) if c else t for part in portions(texts) for t, c in zip(part, _Line(part).certain().tolist(), strict=True)]
 
 
 def _without_certain(text: str) -> str:
@@ -607,9 +607,13 @@ class Repair:
         """The results of many texts; only what can be damaged is looked at one by one."""
         if self.screen is None:
             self.screen = _Screen(self.model)
-        line = _Line([t or "" for t in texts])
-        suspect, certain = self.screen.suspect(line), line.certain()
-        return [self(t) if s or c and _certain(t) else Result(t) for t, s, c in zip(texts, suspect.tolist(), certain.tolist(), strict=True)]
+        suspect: list[bool] = []
+        certain: list[bool] = []
+        for part in portions([t or "" for t in texts]):
+            line = _Line(part)
+            suspect += self.screen.suspect(line).tolist()
+            certain += line.certain().tolist()
+        return [self(t) if s or c and _certain(t) else Result(t) for t, s, c in zip(texts, suspect, certain, strict=True)]
 
     def __call__(self, text: str | None) -> Result:
         if not text or text.isascii():

@@ -42,12 +42,12 @@ def p2_paragraphs(spark: SparkSession, root: str) -> DataFrame:
     return scan.paragraphs(p2_lines(spark, root))
 
 
-def _judged_form(model: Broadcast) -> Callable[[], Callable[[str], str]]:
+def _judged_form(model: Broadcast) -> Callable[[], Callable[[list[str | None]], list[str]]]:
     """Texts are judged as restored, without markup and in one form: garbled text counts by its original language, markup and odd letters don't count."""
 
-    def prepare() -> Callable[[str], str]:
+    def prepare() -> Callable[[list[str | None]], list[str]]:
         repair = local(model, mojibake.Repair)
-        return lambda text: canon.canonical(markup.convert(repair(text).text)[0]) or ""
+        return lambda texts: [canon.canonical(markup.convert(r.text)[0]) or "" for r in repair.all(texts)]
 
     return prepare
 

@@ -1,5 +1,7 @@
 """Languages of held-out documents and of mixed texts."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +102,29 @@ def test_blocks_of_every_type(spark, tmp_path):
     files = {r.doc_id: (r.detected, r.lang) for r in Q.p3_files(spark, str(tmp_path)).collect()}
     assert files == {"a": ("de", "de"), "b": ("fr", "fr"), "c": ("en", "en"), "d": (None, "it"), "e": ("de", "de")}
     assert Q.p3_found(spark, str(tmp_path)).collect() == []
+
+
+def test_many_texts_at_once(judge, docs, monkeypatch):
+    """N-grams of joined texts are those of each, in parts of any size."""
+    texts = ["", "a", "\U00020000 中文字\n\nx", "12", *(t for _, _, t in docs[:60])]
+    labels = [k % 8 - 1 for k in range(len(texts))]
+    counts = Counter(k for t in texts for k in set(L.grams(t)[0].tolist()))
+    keys, n = L._texts_with(texts)
+    assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == counts
+    whole, segments = judge.relabelled(labels, texts), judge.segments_of(texts)
+    for label, text, found in zip(labels, texts, whole, strict=True):
+        shares, n = judge.shares(text)
+        last, best = np.sort(shares)[-2:]
+        assert found == (label if n < L.LEAST_GRAMS else int(shares.argmax()) if best - last >= L.LEAST_LEAD else -1)
+    monkeypatch.setattr("folioloom.llm.arrow.PORTION", 1500)
+    assert judge.relabelled(labels, texts) == whole and judge.segments_of(texts) == segments
+    assert judge.relabelled([], []) == judge.segments_of([]) == []
+
+
+def test_wrong_labels_move(spark, docs):
+    """The second fit moves mislabelled documents and counts the others once."""
+    rows = [(("en" if k % 9 == 0 else "other" if k % 11 == 0 else label) or "other", text) for k, (_, label, text) in enumerate(docs[:600])]
+    here = L.fit(rows)
+    assert (L.fit_frame(spark.createDataFrame(rows, "label string, text string")).slices == here.slices).all()
+    known = [LANGUAGES.index(label) if label in LANGUAGES else -1 for label, _ in rows]
+    assert sum(a != b for a, b in zip(known, L.Judge(here).relabelled(known, [t for _, t in rows]), strict=True)) > 50
