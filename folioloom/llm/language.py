@@ -54,7 +54,7 @@ LEAST_WORDS = 3
 
 _PRIME = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 #: Ends of sentences: marks of the end with what closes quotes, then a blank or nothing; line ends.
-_END = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s|$)|[。！？]+[”’」』）\"]*|\n+")
+_END = re.compile(r"[.!?…。！？\n](?:(?<=[.!?…])[.!?…]*[\"'”’»)\]]*(?=\s|$)|(?<=[。！？])[。！？]*[”’」』）\"]*|(?<=\n)\n*)")
 
 _HAN_RUN = re.compile("[\u4e00-\u9fff]{3}")
 #: Marks of the end, and what may stand behind them.
@@ -173,10 +173,13 @@ class Filters:
     def masks(self, keys: np.ndarray) -> np.ndarray:
         out = np.empty(len(keys), np.uint8)
         for a in range(0, len(keys), BLOCK):
-            one, *more = _slots(keys[a : a + BLOCK])
-            found = self.slices[one]
-            for row in more:
-                found &= self.slices[row]
+            part = keys[a : a + BLOCK]
+            with np.errstate(over="ignore"):
+                slot, step = part * _PRIME[1], (part ^ (part >> np.uint64(31))) * _PRIME[2] | np.uint64(1)
+                found = self.slices[(slot >> np.uint64(20) & np.uint64(SLOTS - 1)).view(np.int64)]
+                for _ in range(HASHES - 1):  # as _slots
+                    slot += step
+                    found &= self.slices[(slot >> np.uint64(20) & np.uint64(SLOTS - 1)).view(np.int64)]
             out[a : a + BLOCK] = found
         return out
 
@@ -406,26 +409,25 @@ class Judge:
 
     @staticmethod
     def _joined(cuts: list[int], full: list[bool], told: list[list | None], sizes: list[int]) -> list[Segment]:
-        out: list[Segment] = []
+        out: list[list] = []
         weight = start = 0
         for end, whole, t, n in zip(cuts, full, told, sizes, strict=True):
             last = out[-1] if out else None
             if t is None:
                 # too short to tell: part of the segment before it, or of the one that comes
                 if last:
-                    out[-1] = Segment(last.start, end, last.lang, last.confidence, last.sentences)
-                    start = end
+                    last[1] = start = end
                 continue
             lang, confidence = t
-            if last and last.lang == lang:
-                mean = (last.confidence * weight + confidence * n) / (weight + n)
-                out[-1] = Segment(last.start, end, lang, mean, last.sentences + whole)
+            if last and last[2] == lang:
+                last[1], last[3] = end, (last[3] * weight + confidence * n) / (weight + n)
+                last[4] += whole
                 weight += n
             else:
-                out.append(Segment(start, end, lang, confidence, int(whole)))
+                out.append([start, end, lang, confidence, int(whole)])
                 weight = n
             start = end
-        return out
+        return [Segment(*s) for s in out]
 
 
 def segment_texts(texts: DataFrame, filters: Broadcast, keep: list[str], text_col: str = "content", prepare: Callable[[], Callable[[list[str | None]], list[str | None]]] | None = None) -> DataFrame:

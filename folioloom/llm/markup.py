@@ -58,7 +58,14 @@ _TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9]*)(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[
 _COMMENT = re.compile(r"<!--.*?-->|<!DOCTYPE[^>]*>|<\?xml[^>]*\?>|<!\[CDATA\[.*?\]\]>", re.S | re.I)
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|([A-Za-z][A-Za-z0-9]{1,31}));")
 _ESCAPED = re.compile(r"&(?:amp;)?lt;/?([A-Za-z][A-Za-z0-9]*)\b[^<>]*?&(?:amp;)?gt;|&(?:amp;)?lt;!--.*?--&(?:amp;)?gt;", re.S)
-_ANY = re.compile(r"[<>&*_`#~|\\${}\[\]=^]|'{2}|^[ ]{0,3}[-+] |^-{3,}[ ]*$", re.M)
+_ANY = re.compile(r"[<>&*_`#~|\\${}\[\]=^]")
+_ANY_LINE = re.compile(r"[ ]{0,3}[-+] |-{3,}[ ]*$", re.M)
+_ANY_NEXT_LINE = re.compile(rf"\n(?:{_ANY_LINE.pattern})", re.M)
+
+
+def _any(text: str) -> bool:
+    """Whether a text holds a sign of markup; most hold none."""
+    return bool(_ANY.search(text) or "''" in text or _ANY_LINE.match(text) or _ANY_NEXT_LINE.search(text))
 
 
 def _is_tag(m: re.Match) -> bool:
@@ -382,7 +389,7 @@ def _markdown_table(m: re.Match) -> str | None:
 
 def convert(text: str | None) -> tuple[str | None, list[str]]:
     """(clean text, kinds of markup found)."""
-    if not text or not _ANY.search(text):
+    if not text or not _any(text):
         return text, []
     w = _Work(text)
     _maths(w)

@@ -47,7 +47,7 @@ DOUBLE = ("gbk",)
 #: By how much (nats per character) a decoded span must be more usual, and the least gain in all of a long span or of a pass over words.
 MARGIN, LEAST = 1.0, 5.0
 ROUNDS = 4
-#: Sound words that a worker remembers; when full, it starts anew. Only speed depends on it.
+#: Sound words, and spans with their readings, that a worker remembers; when full, it starts anew. Only speed depends on it.
 MEMO = 100_000
 
 #: Neighbours in a smaller share of the texts are unusual.
@@ -453,6 +453,12 @@ def _runs(text: str) -> tuple[str, list[int], set[str]]:
     return joined, place, set(joined)
 
 
+@lru_cache(maxsize=16)
+def _shown(runs: str, codec: str) -> str:
+    """Runs as bytes; those of one text are read several times."""
+    return runs.translate(_table(codec))
+
+
 @lru_cache(maxsize=None)
 def _ends(codec: str, meant: str) -> tuple[frozenset[str], frozenset[str]]:
     """The characters that show the first and the further bytes of a span."""
@@ -475,7 +481,7 @@ def _certain(text: str) -> tuple[str, str] | None:
     for codec, meant, automaton in [(c, "utf-8", _UTF8) for c in CERTAIN] + [("cp1252", "gb2312", _GB_LATIN)]:
         if not _can_hold(signs, codec, meant):
             continue
-        shown = runs.translate(_table(codec))
+        shown = _shown(runs, codec)
         parts, last, total = [], 0, 0
         for m in automaton.finditer(shown):
             a, b = m.span()
@@ -601,6 +607,7 @@ class Repair:
     def __init__(self, model: Model):
         self.model = model
         self.usual: set[str] = set()
+        self.read: dict[tuple[str, ...], list[tuple[int, int, float, str]]] = {}
         self.screen: _Screen | None = None
 
     def all(self, texts: list[str | None]) -> list[Result]:
@@ -681,22 +688,34 @@ class Repair:
         for codec in SINGLE:
             if not _can_hold(signs, codec, meant):
                 continue
-            shown = runs.translate(_table(codec))
             parts, last, total = [], 0, 0.0
-            for m in automaton.finditer(shown):
-                a, b = m.span()
-                for s, e, options in self._pieces(shown, a, b, codec, meant):
-                    s, e = place[s], place[e - 1] + 1
-                    gain, new = max((self._gain(text, s, e, n), n) for n in options)
-                    if new == "\ufeff":
-                        gain, new = 2 * LEAST, ""
-                    if gain > MARGIN and gain * (e - s) > LEAST / 2 or gain > MARGIN / 4 and gain * (e - s) > LEAST:
-                        parts += [text[last:s], new]
-                        last, total = e, total + (gain + 3 * (meant == "utf-8")) * (e - s)
+            for m in automaton.finditer(_shown(runs, codec)):
+                a, b = place[m.start()], place[m.end() - 1] + 1
+                for s, e, gain, new in self._read(codec, meant, m.group(), text[a - 1] if a else " ", text[a:b], text[b] if b < len(text) else " "):
+                    parts += [text[last : a + s], new]
+                    last, total = a + e, total + (gain + 3 * (meant == "utf-8")) * (e - s)
             if total > most:
                 best, most, name = "".join([*parts, text[last:]]), total, f"{meant} as {codec}"
         return most, name, best
 
+    def _read(self, codec: str, meant: str, shown: str, before: str, span: str, after: str) -> list[tuple[int, int, float, str]]:
+        """(start, end, gain, text) of the pieces of a span that are clearly more usual when decoded; words come again and are remembered."""
+        key = codec, meant, before, span, after
+        found = self.read.get(key)
+        if found is None:
+            found, line = [], before + span + after
+            for s, e, options in self._pieces(shown, 0, len(shown), codec, meant):
+                gain, new = max((self._gain(line, s + 1, e + 1, n), n) for n in options)
+                if new == "\ufeff":
+                    gain, new = 2 * LEAST, ""
+                if gain > MARGIN and gain * (e - s) > LEAST / 2 or gain > MARGIN / 4 and gain * (e - s) > LEAST:
+                    found.append((s, e, gain, new))
+            if len(span) <= 24:
+                if len(self.read) >= MEMO:
+                    self.read.clear()
+                self.read[key] = found
+        return found
+
     @staticmethod
     def _deeper(new: str, codec: str, meant: str) -> list[str]:
         """What a span means, and what that means if it was damaged more than once: between the steps nothing looks usual."""

@@ -128,3 +128,12 @@ def test_wrong_labels_move(spark, docs):
     assert (L.fit_frame(spark.createDataFrame(rows, "label string, text string")).slices == here.slices).all()
     known = [LANGUAGES.index(label) if label in LANGUAGES else -1 for label, _ in rows]
     assert sum(a != b for a, b in zip(known, L.Judge(here).relabelled(known, [t for _, t in rows]), strict=True)) > 50
+
+
+def test_sentence_ends_and_lookups(judge):
+    cuts = {'He said "x."\n\nNext… 3.14 is': [12, 14, 19], "内部。」公共！！": [4, 8], "a.b ": [], "\n": [1]}
+    for text, ends in cuts.items():
+        assert [m.end() for m in L._END.finditer(text)] == ends, text
+    assert L._whole("One two three.) ") and not L._whole("One two three. ) ") and not L._whole("One two three")
+    keys = L.grams("Der regionale Bericht " * 4000)[0]
+    assert (judge.filters.masks(keys) == np.bitwise_and.reduce(judge.filters.slices[L._slots(keys)], axis=0)).all()
