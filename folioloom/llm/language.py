@@ -89,10 +89,14 @@ BLOCK = 1 << 15
 
 def _by_size(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(keys, positions of the last letter, ascending) of the n-grams of each size, then of the single Chinese characters."""
-    codes = np.full(len(text) + 2, 32, np.uint64)
-    codes[1:-1] = _letters(text)
+    return _by_size_of(_letters(text))
+
+
+def _by_size_of(letters: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    codes = np.full(len(letters) + 2, 32, np.uint64)
+    codes[1:-1] = letters
     blank = codes == 32
-    inner, last = ~blank, max(0, len(text) - 1)
+    inner, last = ~blank, max(0, len(letters) - 1)
     for n in SIZES:
         m = max(0, len(codes) - n + 1)
         good = inner[:m] | inner[n - 1 : n - 1 + m]
@@ -325,9 +329,58 @@ class Segment:
     sentences: int
 
 
+#: Words that a worker remembers, and their characters; when there are more, it starts anew. Only speed depends on it.
+WORDS, WORD_CHARS = 100_000, 2_000_000
+
+
+class _Words(dict):
+    """The number of each word; ``new`` are those without hits yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = len(self)
+        self.new.append(word)
+        return found
+
+
 class Judge:
     def __init__(self, filters: Filters):
         self.filters = filters
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.chars = _Words(), 0
+        #: Per word: how many of its n-grams each language holds, and how many there are.
+        self.hits = np.zeros((1024, len(LANGUAGES) + 1), np.int32)
+
+    def _hits(self, words: list[str]) -> np.ndarray:
+        """The hits of each word. No n-gram reaches over a word, so each word is looked up once."""
+        if len(self.words) > WORDS or self.chars > WORD_CHARS:
+            self._forget()
+        own = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        new, count = self.words.new, len(self.words)
+        if new:
+            if count > len(self.hits):
+                self.hits = np.concatenate([self.hits, np.zeros((count, self.hits.shape[1]), np.int32)])
+            codes = np.frombuffer(" ".join(new).encode("utf-32-le"), np.uint32)
+            # a blank counts for the word before it
+            word, masks = np.cumsum(codes == 32) - (codes == 32), 1 << len(LANGUAGES)
+            counts = np.zeros(len(new) * masks, np.int64)
+            for keys, ends in _by_size_of(codes):
+                counts += np.bincount(word[ends] * masks + self.filters.masks(keys), minlength=len(counts))
+            # how often each mask occurs in each word, then how often each language; most masks don't
+            seen = np.flatnonzero(counts)
+            rows, n = seen // masks, counts[seen]
+            bits = _BITS[seen % masks] * n[:, None]
+            for b in range(len(LANGUAGES)):
+                self.hits[count - len(new) : count, b] = np.bincount(rows, bits[:, b], len(new))
+            self.hits[count - len(new) : count, -1] = np.bincount(rows, n, len(new))
+            self.chars += len(codes)
+            self.words.new = []
+        return self.hits[own]
 
     def _corrected(self, hits: np.ndarray, n: int) -> np.ndarray:
         f = self.filters.chance
@@ -343,17 +396,14 @@ class Judge:
 
     def _shares_by(self, text: str, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(corrected shares, number of n-grams) of each piece of a text, given their ends."""
-        masks = 1 << len(LANGUAGES)
-        part = np.repeat(np.arange(len(cuts)) * masks, np.diff(cuts, prepend=0))
-        counts = np.zeros(len(cuts) * masks, np.int64)
-        for keys, ends in _by_size(text):
-            counts += np.bincount(part[ends] + self.filters.masks(keys), minlength=len(counts))
-        # how often each mask occurs in each piece, then how often each language; most masks don't
-        own = np.flatnonzero(counts)
-        rows, n = own // masks, counts[own]
-        bits = _BITS[own % masks] * n[:, None]
-        hits = np.stack([np.bincount(rows, bits[:, b], len(cuts)) for b in range(len(LANGUAGES))], axis=1)
-        sizes = np.bincount(rows, n, len(cuts)).astype(np.int64)
+        # a piece ends behind its last word, never in one
+        letters = _letters(text)
+        inner = letters != 32
+        starts = np.flatnonzero(inner & ~np.concatenate([[False], inner[:-1]]))
+        sums = np.zeros((len(starts) + 1, len(LANGUAGES) + 1), np.int64)
+        np.cumsum(self._hits(letters.tobytes().decode("utf-32-le").split()), axis=0, out=sums[1:])
+        pieces = np.diff(sums[np.searchsorted(starts, cuts)], axis=0, prepend=sums[:1])
+        hits, sizes = pieces[:, :-1], pieces[:, -1]
         f = self.filters.chance
         return np.clip((hits - sizes[:, None] * f) / (1 - f), 0, None) / np.maximum(sizes, 1)[:, None], sizes
 
@@ -430,6 +480,22 @@ class Judge:
         return [Segment(*s) for s in out]
 
 
+def _letters_in(texts: list[str], found: list[list[Segment]]) -> Iterator[list[int]]:
+    """How many letters each segment of each text has."""
+    rest = iter(found)
+    for part in portions(texts):
+        codes = np.frombuffer("".join(part).encode("utf-32-le"), np.uint32)
+        table, far = _folded(), codes >= 0x20000
+        letter = (table[np.where(far, 32, codes)] != 32) & ~((codes >= 0x300) & (codes < 0x370))
+        letter[far] = [chr(c).isalpha() for c in codes[far].tolist()]
+        sums = np.concatenate([[0], np.cumsum(letter)])
+        base = 0
+        for text, segments in zip(part, rest):  # noqa: B905
+            ends = np.array([(s.start, s.end) for s in segments], np.int64).reshape(-1, 2) + base
+            yield (sums[ends[:, 1]] - sums[ends[:, 0]]).tolist()
+            base += len(text)
+
+
 def segment_texts(texts: DataFrame, filters: Broadcast, keep: list[str], text_col: str = "content", prepare: Callable[[], Callable[[list[str | None]], list[str | None]]] | None = None) -> DataFrame:
     """The kept columns, seg_no, start_char, end_char, lang, confidence and the number of whole sentences, for each segment.
 
@@ -448,10 +514,9 @@ def segment_texts(texts: DataFrame, filters: Broadcast, keep: list[str], text_co
         *kept_columns, raw = columns
         texts = form(raw) if form else raw
         found = judge.segments_of(texts)
-        for *kept, text, segments in zip(*kept_columns, texts, found, strict=True):
-            for k, s in enumerate(segments):
-                part = text[s.start : s.end]
-                yield *kept, k, s.start, s.end, s.lang, s.confidence, s.sentences, sum(map(str.isalpha, part))
+        for *kept, segments, letters in zip(*kept_columns, found, _letters_in(texts, found), strict=True):
+            for k, (s, n) in enumerate(zip(segments, letters, strict=True)):
+                yield *kept, k, s.start, s.end, s.lang, s.confidence, s.sentences, n
 
     return map_rows(texts.where(F.col(text_col).isNotNull()), {**{c: c for c in keep}, "\x00text": text_col}, schema, rows)
 

@@ -47,7 +47,7 @@ DOUBLE = ("gbk",)
 #: By how much (nats per character) a decoded span must be more usual, and the least gain in all of a long span or of a pass over words.
 MARGIN, LEAST = 1.0, 5.0
 ROUNDS = 4
-#: Sound words, and spans with their readings, that a worker remembers; when full, it starts anew. Only speed depends on it.
+#: Sound words, unusual words, runs and spans with their readings, that a worker remembers; when full, it starts anew. Only speed depends on it.
 MEMO = 100_000
 
 #: Neighbours in a smaller share of the texts are unusual.
@@ -198,9 +198,11 @@ class _Holds:
         self.texts, self.signs, self.width = texts, signs, -(-signs // 8) * 8
         self.held = np.zeros(texts * self.width, np.uint8)
 
-    def put(self, lengths: np.ndarray, signs: np.ndarray) -> None:
-        """``signs`` are those of all texts, one behind the other."""
-        self.held[np.repeat(np.arange(self.texts) * self.width, lengths) + signs] = 1
+    def put(self, rows: np.ndarray, signs: np.ndarray) -> None:
+        """The signs of all texts, and the text of each."""
+        at = rows * self.width
+        at += signs
+        self.held[at] = 1
 
     def sums(self) -> np.ndarray:
         """In how many texts each sign is. Eight columns are added as one number, as no sum of 255 rows leaves its byte."""
@@ -213,6 +215,26 @@ class _Holds:
         return int(np.count_nonzero(self.held.reshape(self.texts, -1)[:, columns].any(axis=1)))
 
 
+def _numbered(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the different values, ascending; the place of each among them)."""
+    different = np.flatnonzero(np.bincount(values, minlength=most))
+    place = np.zeros(most, np.int64)
+    place[different] = np.arange(len(different))
+    return different, place
+
+
+def _single_blanks(signs: np.ndarray, blank: int, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signs of all texts, length of each) with one blank where several stand together; texts begin and end with one."""
+    ends = np.cumsum(lengths)
+    keep = signs != blank
+    keep[1:] |= keep[:-1]  # a blank behind something else
+    keep[ends - lengths] = True
+    lengths = np.add.reduceat(keep, ends - lengths, dtype=np.int64)
+    # of nothing but blanks, the first and the last stay
+    keep[ends[lengths == 1] - 1] = True
+    return signs[keep], np.maximum(lengths, 2)
+
+
 class _Tally:
     """``_tally`` of many texts, by stratum: characters are counted in arrays, a bounded number of texts at a time."""
 
@@ -220,14 +242,14 @@ class _Tally:
         self.sums: dict[int, Counter[str]] = defaultdict(Counter)
         self.waiting: dict[int, list[str]] = defaultdict(list)
         self.size: Counter[int] = Counter()
-        #: Number of each character among those seen, and number of the kind of each.
-        self.number = np.full(0x110000, -1, np.int32)
-        self.chars: list[str] = []
-        self.kinds: dict[str, int] = {}
-        self.kind_of: list[int] = []
+        #: Number of each character among those seen (all blanks are the first), and number of the kind of each.
+        self.number = np.full(0x110000, -1, np.int64)
+        self.chars: list[str] = [" "]
+        self.kinds: dict[str, int] = {" ": 0}
+        self.kind_of: list[int] = [0]
 
     def add(self, stratum: int, text: str) -> None:
-        self.waiting[stratum].append(f" {' '.join(text.split())} ")
+        self.waiting[stratum].append(f" {text} ")
         self.size[stratum] += len(text)
         if self.size[stratum] > 1 << 20 or len(self.waiting[stratum]) >= 2048:
             self.count(stratum)
@@ -242,36 +264,37 @@ class _Tally:
         self.size[stratum] = 0
         if not texts:
             return
-        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        numbers = self.number[codes]
-        for c in np.unique(codes[numbers < 0]).tolist():
-            self.number[c] = len(self.chars)
-            self.chars.append(chr(c))
-            self.kind_of.append(self.kinds.setdefault(_kind(chr(c)), len(self.kinds)))
-        numbers = self.number[codes] if numbers.min() < 0 else numbers
-        letters = np.flatnonzero(np.bincount(numbers, minlength=len(self.chars)))
-        place = np.zeros(len(self.chars), np.int32)
-        place[letters] = np.arange(len(letters))
-        own = place[numbers]
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        # no number is out of range, and without the check "take" needs no copy
+        numbers = self.number.take(codes, mode="clip")
+        if numbers.min() < 0:
+            for c in np.unique(codes[numbers < 0]).tolist():
+                if chr(c).isspace():
+                    self.number[c] = 0
+                    continue
+                self.number[c] = len(self.chars)
+                self.chars.append(chr(c))
+                self.kind_of.append(self.kinds.setdefault(_kind(chr(c)), len(self.kinds)))
+            numbers = self.number.take(codes, mode="clip")
+        numbers, lengths = _single_blanks(numbers, 0, np.fromiter(map(len, texts), np.int64, len(texts)))
+        rows = np.repeat(np.arange(len(texts)), lengths)
+        letters, place = _numbered(numbers, len(self.chars))
+        own = place.take(numbers, mode="clip")
         holds = _Holds(len(texts), len(letters))
-        holds.put(lengths, own)
+        holds.put(rows, own)
         alphabet, of = np.unique(np.array(self.kind_of)[letters], return_inverse=True)
         width = len(alphabet)
-        kind = of.astype(np.int32)[own]
-        pairs = kind.astype(np.int32 if width < 1 << 15 else np.int64)
-        pairs[:-1] *= width
+        kind = of.take(own, mode="clip")
+        pairs = kind * width
         pairs[:-1] += kind[1:]
         pairs[np.cumsum(lengths) - 1] = width * width  # the end of a text has no neighbour
         if width <= 2048:
-            found = np.flatnonzero(np.bincount(pairs, minlength=width**2 + 1))
-            at = np.zeros(width**2 + 1, np.int32)
-            at[found] = np.arange(len(found))
-            back = at[pairs]
+            found, at = _numbered(pairs, width**2 + 1)
+            back = at.take(pairs, mode="clip")
         else:
             found, back = np.unique(pairs, return_inverse=True)
         meets = _Holds(len(texts), len(found))
-        meets.put(lengths, back)
+        meets.put(rows, back)
         sums[""] += len(texts)
         names = list(self.kinds)
         signs: dict[str, list[int]] = defaultdict(list)
@@ -307,7 +330,7 @@ def fit_frame(texts: DataFrame, text_col: str = "text", quotas: dict[str, int] |
     parts = max(spark.sparkContext.defaultParallelism, texts.rdd.getNumPartitions())
     whole = texts.select(F.col(text_col).alias("text"), number.alias("k")).where("text IS NOT NULL").repartition(parts, "text").groupBy("text").agg(F.min("k").alias("k"))
 
-    def summed(step: Callable[[_Tally, list[int], list[str]], None]) -> DataFrame:
+    def summed(step: Callable[[_Tally, list[int], list[str]], None], chosen: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def made() -> Iterator[pa.RecordBatch]:
                 rows = list(tally.rows())
@@ -323,7 +346,7 @@ def fit_frame(texts: DataFrame, text_col: str = "text", quotas: dict[str, int] |
                     yield from made()
             yield from made()
 
-        rows = whole.select("text", "k").mapInArrow(run, "k int, key string, n long")
+        rows = chosen.select("text", "k").mapInArrow(run, "k int, key string, n long")
         return rows.groupBy("key").agg(*[F.sum(F.when(F.col("k") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(names))])
 
     def model(sums: DataFrame) -> Model:
@@ -338,7 +361,7 @@ def fit_frame(texts: DataFrame, text_col: str = "text", quotas: dict[str, int] |
         for k, text in zip(strata, _all_without_certain(own), strict=True):
             tally.add(k, text)
 
-    first = checkpointed(summed(counted))
+    first = checkpointed(summed(counted, whole))
     shared = spark.sparkContext.broadcast(model(first))
 
     def changed(tally: _Tally, strata: list[int], own: list[str]) -> None:
@@ -351,7 +374,8 @@ def fit_frame(texts: DataFrame, text_col: str = "text", quotas: dict[str, int] |
                 if not lost:
                     tally.change(k, r.text, 1)
 
-    both = first.unionByName(summed(changed))
+    # a text of ASCII is never damaged
+    both = first.unionByName(summed(changed, whole.where("octet_length(text) > length(text)")))
     return model(both.groupBy("key").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(names))]))
 
 
@@ -440,23 +464,17 @@ def _high(c: str) -> bool:
     return "\x80" <= c <= "\xff"
 
 
-def _runs(text: str) -> tuple[str, list[int], set[str]]:
-    """(the runs of two and more characters beyond ASCII, with line ends between them; the place of each character in the text; the different ones).
-
-    Nothing else can be a span of bytes above 127.
-    """
-    runs, place = [], []
-    for m in _RUN.finditer(text):
-        runs.append(m.group())
-        place += range(m.start(), m.end() + 1)
-    joined = "\n".join(runs)
-    return joined, place, set(joined)
-
-
-@lru_cache(maxsize=16)
-def _shown(runs: str, codec: str) -> str:
-    """Runs as bytes; those of one text are read several times."""
-    return runs.translate(_table(codec))
+@lru_cache(maxsize=1 << 14)
+def _through(run: str, codec: str) -> tuple[str, str, bool] | None:
+    """(text, the same without lost characters, whether it holds Chinese) of a run whose bytes in a two-byte encoding are UTF-8; None if they tell nothing."""
+    # no character takes "?" as a byte, so it stands for those that the encoding lacks
+    raw = b"\x80".join(part.encode(codec, "replace").replace(b"?", b"\xff") for part in run.split("€"))
+    # bytes that belong to no whole character were lost
+    decoded = re.sub("�+", "�", raw.decode("utf-8", "replace"))
+    read = decoded.replace("�", "")
+    if not read or read.isascii() or 2 * (len(decoded) - len(read)) > len(decoded) or not _plausible(read):
+        return None
+    return decoded, read, any(map(_han, read))
 
 
 @lru_cache(maxsize=None)
@@ -472,37 +490,55 @@ def _can_hold(signs: set[str], codec: str, meant: str) -> bool:
     return not (first.isdisjoint(signs) or further.isdisjoint(signs))
 
 
+#: The readings of ``_certain``.
+_SURE = (*((c, "utf-8", _UTF8) for c in CERTAIN), ("cp1252", "gb2312", _GB_LATIN))
+
+
 def _certain(text: str) -> tuple[str, str] | None:
     """(encodings, text) with the spans decoded that are well-formed and not excused, under the encoding that explains most of the text."""
     if not _TWO.search(text) or not _gate().search(text):
         return None
-    most, best = 0, None
-    runs, place, signs = _runs(text)
-    for codec, meant, automaton in [(c, "utf-8", _UTF8) for c in CERTAIN] + [("cp1252", "gb2312", _GB_LATIN)]:
+    found: dict[int, list[tuple[int, int, str]]] = defaultdict(list)
+    for m in _RUN.finditer(text):
+        a, b = m.span()
+        read = _certain_spans if b - a <= 24 else _certain_spans.__wrapped__
+        for k, s, e, new in read(text[a - 1 : a], m.group(), text[b : b + 1]):
+            found[k].append((a + s, a + e, new))
+    if not found:
+        return None
+    k = max(sorted(found), key=lambda k: sum(b - a for a, b, _ in found[k]))
+    parts, last = [], 0
+    for a, b, new in found[k]:
+        parts += [text[last:a], new]
+        last = b
+    codec, meant, _ = _SURE[k]
+    return f"{meant} as {codec}", "".join([*parts, text[last:]])
+
+
+@lru_cache(maxsize=1 << 14)
+def _certain_spans(before: str, run: str, after: str) -> list[tuple[int, int, int, str]]:
+    """(number of the reading, start, end, text) of the spans of a run beyond ASCII; all that they depend on is in it and beside it."""
+    out, line, at, signs = [], before + run + after, len(before), set(run)
+    for k, (codec, meant, automaton) in enumerate(_SURE):
         if not _can_hold(signs, codec, meant):
             continue
-        shown = _shown(runs, codec)
-        parts, last, total = [], 0, 0
+        shown = run.translate(_table(codec))
         for m in automaton.finditer(shown):
             a, b = m.span()
             if _high(shown[a - 1 : a]) or _high(shown[b : b + 1]):
                 continue  # part of a run that is something else
-            a, b = place[a], place[b - 1] + 1
             try:
                 new = m.group().encode("latin-1").decode(meant)
             except UnicodeDecodeError:
                 continue
             # damaged more than once: what lies between may look like nothing
             new = next((n for n in Repair._deeper(new, codec, meant) if all(map(_FAMILIAR.match, n))), None)
-            if new is None or meant == "utf-8" and _excused(text, a, b, new):
+            if new is None or meant == "utf-8" and _excused(line, at + a, at + b, new):
                 continue
-            if codec == "cp1251" and b - a < 4 and new.isalpha() and not (text[a - 1 : a] + text[b : b + 1]).isascii():
+            if codec == "cp1251" and b - a < 4 and new.isalpha() and not (line[at + a - 1 : at + a] + line[at + b : at + b + 1]).isascii():
                 continue  # among Cyrillic letters a single one proves nothing
-            parts += [text[last:a], new]
-            last, total = b, total + b - a
-        if total > most:
-            most, best = total, (f"{meant} as {codec}", "".join([*parts, text[last:]]))
-    return best
+            out.append((k, a, b, new))
+    return out
 
 
 #: Places of characters in the tables of the screens.
@@ -510,13 +546,18 @@ _CODES = 0x110000
 
 
 @lru_cache(maxsize=1)
-def _certain_pairs() -> tuple[np.ndarray, np.ndarray]:
-    """A bit per reading of ``_certain`` that a character can begin or carry on."""
-    first, further = np.zeros(_CODES, np.uint8), np.zeros(_CODES, np.uint8)
-    for i, (codec, meant) in enumerate([*((c, "utf-8") for c in CERTAIN), ("cp1252", "gb2312")]):
-        for table, signs in zip((first, further), _ends(codec, meant), strict=True):
-            table[[ord(c) for c in signs]] |= 1 << i
-    return first, further
+def _certain_parts() -> tuple[np.ndarray, ...]:
+    """What each character can be in the certain encodings, a bit for each: the first of two bytes, of three, of four, a punctuation mark as the first of two, a further byte."""
+    two, three, four, marks, rest = out = tuple(np.zeros(_CODES, np.uint8) for _ in range(5))
+    for i, codec in enumerate(CERTAIN):
+        for code, b in _to_bytes(codec).items():
+            if "\xc2" <= b < "\xe0":
+                (marks if unicodedata.category(chr(code))[0] == "P" else two)[code] |= 1 << i
+            elif "\xe0" <= b < "\xf5":
+                (three if b < "\xf0" else four)[code] |= 1 << i
+            elif b < "\xc0":
+                rest[code] |= 1 << i
+    return out
 
 
 class _Line:
@@ -524,7 +565,7 @@ class _Line:
 
     def __init__(self, texts: list[str]):
         self.n = len(texts)
-        codes = np.frombuffer(f" {' '.join(texts)} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.codes = codes = np.frombuffer(f" {' '.join(texts)}   ".encode("utf-32-le", "surrogatepass"), np.uint32)
         self.at = np.flatnonzero(codes >= 128)
         self.ends = np.cumsum(np.fromiter(map(len, texts), np.int64, self.n) + 1)
         self.before, self.own, self.after = codes[self.at - 1], codes[self.at], codes[self.at + 1]
@@ -536,9 +577,16 @@ class _Line:
         return found
 
     def certain(self) -> np.ndarray:
-        """Which texts can hold certain spans."""
-        first, further = _certain_pairs()
-        return self.texts(first[self.own] & further[self.after] != 0)
+        """Which texts can hold certain spans: all that ``_gate`` finds, and few more."""
+        two, three, four, marks, rest = _certain_parts()
+        lead, next_ = self.own, rest[self.after]
+        found = two[lead] & next_ != 0
+        found |= (lead == 0xA1) & (self.after >= 0xA4) & (self.after <= 0xB1) | (lead == 0xA8) & (self.after >= 0xA1) & (self.after <= 0xBA)
+        longer = np.flatnonzero((three[lead] | four[lead] | marks[lead]) & next_)
+        at = self.at[longer]
+        lead, next_, third, fourth = lead[longer], next_[longer], self.codes[at + 2], rest[self.codes[at + 3]]
+        found[longer] |= next_ & (three[lead] & rest[third] | four[lead] & rest[third] & fourth | marks[lead] & marks[third] & fourth) != 0
+        return self.texts(found)
 
 
 class _Screen:
@@ -608,6 +656,8 @@ class Repair:
         self.model = model
         self.usual: set[str] = set()
         self.read: dict[tuple[str, ...], list[tuple[int, int, float, str]]] = {}
+        self.runs: dict[tuple[str, str, str], list[tuple[tuple[str, str], int, int, float, str]]] = {}
+        self.meant: dict[str, list[tuple[int, str, float]]] = {}
         self.screen: _Screen | None = None
 
     def all(self, texts: list[str | None]) -> list[Result]:
@@ -620,14 +670,18 @@ class Repair:
             line = _Line(part)
             suspect += self.screen.suspect(line).tolist()
             certain += line.certain().tolist()
-        return [self(t) if s or c and _certain(t) else Result(t) for t, s, c in zip(texts, suspect, certain, strict=True)]
+        sure = [_certain(t) if c else None for t, c in zip(texts, certain, strict=True)]
+        return [self._repaired(t, found) if s or found else Result(t) for t, s, found in zip(texts, suspect, sure, strict=True)]
 
     def __call__(self, text: str | None) -> Result:
-        if not text or text.isascii():
-            return Result(text)
+        return Result(text) if not text or text.isascii() else self._repaired(text, _certain(text))
+
+    def _repaired(self, text: str, sure: tuple[str, str] | None) -> Result:
+        """``sure`` is what ``_certain`` gives for the text."""
         kinds: list[str] = []
-        for _ in range(2 * ROUNDS):
-            sure = _certain(text)
+        for k in range(2 * ROUNDS):
+            if k:
+                sure = _certain(text)
             if sure:
                 kinds.append(sure[0])
                 text = sure[1]
@@ -635,7 +689,8 @@ class Repair:
             if not self._suspect(text):
                 break
             # the reading that explains most; byte structure counts more than none
-            found = max(self._spans(text, _UTF8, "utf-8"), self._through_double(text), self._spans(text, _GB, "gb2312"), self._words(text), key=lambda f: f[0])
+            utf8, gb = self._spans(text)
+            found = max(utf8, self._through_double(text), gb, self._words(text), key=lambda f: f[0])
             if found[0] <= 0 or found[1].startswith("gb2312"):
                 east = self._east(text)
                 if east[0] > 0 and (found[0] <= 0 or 2 * len(_HIGH.findall(east[2])) < len(_HIGH.findall(found[2]))):
@@ -681,22 +736,46 @@ class Repair:
         before, after = (line[start - 1] if start else " "), (line[end] if end < len(line) else " ")
         return self.model.mean(before, new, after) - self.model.mean(before, line[start:end], after)
 
-    def _spans(self, text: str, automaton: re.Pattern, meant: str) -> tuple[float, str, str]:
-        """Well-formed spans under the single-byte encoding that explains most."""
-        best, most, name = "", 0.0, ""
-        runs, place, signs = _runs(text)
-        for codec in SINGLE:
-            if not _can_hold(signs, codec, meant):
-                continue
-            parts, last, total = [], 0, 0.0
-            for m in automaton.finditer(_shown(runs, codec)):
-                a, b = place[m.start()], place[m.end() - 1] + 1
-                for s, e, gain, new in self._read(codec, meant, m.group(), text[a - 1] if a else " ", text[a:b], text[b] if b < len(text) else " "):
-                    parts += [text[last : a + s], new]
-                    last, total = a + e, total + (gain + 3 * (meant == "utf-8")) * (e - s)
-            if total > most:
-                best, most, name = "".join([*parts, text[last:]]), total, f"{meant} as {codec}"
-        return most, name, best
+    def _spans(self, text: str) -> list[tuple[float, str, str]]:
+        """Well-formed spans of UTF-8, and of the Chinese set, each under the single-byte encoding that explains most."""
+        found: dict[tuple[str, str], list[tuple[int, int, float, str]]] = defaultdict(list)
+        for m in _RUN.finditer(text):
+            a, b = m.span()
+            for encodings, s, e, gain, new in self._run(text[a - 1 : a] or " ", m.group(), text[b : b + 1] or " "):
+                found[encodings].append((a + s, a + e, gain, new))
+        out = []
+        for meant in ("utf-8", "gb2312"):
+            best, most, name = "", 0.0, ""
+            for codec in SINGLE:
+                parts, last, total = [], 0, 0.0
+                for a, b, gain, new in found.get((codec, meant), ()):
+                    parts += [text[last:a], new]
+                    last, total = b, total + (gain + 3 * (meant == "utf-8")) * (b - a)
+                if total > most:
+                    best, most, name = "".join([*parts, text[last:]]), total, f"{meant} as {codec}"
+            out.append((most, name, best))
+        return out
+
+    def _run(self, before: str, run: str, after: str) -> list[tuple[tuple[str, str], int, int, float, str]]:
+        """(encodings, start, end, gain, text) of the pieces of a run beyond ASCII that are clearly more usual when decoded; runs come again and are remembered."""
+        key = before, run, after
+        found = self.runs.get(key)
+        if found is None:
+            found, line, signs = [], before + run + after, set(run)
+            for codec in SINGLE:
+                shown = ""
+                for meant, automaton in (("utf-8", _UTF8), ("gb2312", _GB)):
+                    if not _can_hold(signs, codec, meant):
+                        continue
+                    shown = shown or run.translate(_table(codec))
+                    for m in automaton.finditer(shown):
+                        a, b = m.span()
+                        found += [((codec, meant), a + s, a + e, gain, new) for s, e, gain, new in self._read(codec, meant, m.group(), line[a], run[a:b], line[b + 1])]
+            if len(run) <= 24:
+                if len(self.runs) >= MEMO:
+                    self.runs.clear()
+                self.runs[key] = found
+        return found
 
     def _read(self, codec: str, meant: str, shown: str, before: str, span: str, after: str) -> list[tuple[int, int, float, str]]:
         """(start, end, gain, text) of the pieces of a span that are clearly more usual when decoded; words come again and are remembered."""
@@ -767,13 +846,12 @@ class Repair:
             parts, last, total = [], 0, 0.0
             for m in re.finditer("[^\x00-\x7f]+", text):
                 run = m.group()
-                raw = b"".join(b"\x80" if c == "€" else b"\xff" if c == "�" else c.encode(codec, "replace").replace(b"?", b"\xff") for c in run)
-                # bytes that belong to no whole character were lost
-                decoded = re.sub("�+", "�", raw.decode("utf-8", "replace"))
-                read = decoded.replace("�", "")
+                found = _through(run, codec)
+                if found is None:
+                    continue
+                decoded, read, han = found
                 before, after = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
-                han = any(map(_han, read))
-                if not read or read.isascii() or len(read) < 2 and (han or not (before.isalpha() or after.isalpha())) or 2 * (len(decoded) - len(read)) > len(decoded) or not _plausible(read):
+                if len(read) < 2 and (han or not (before.isalpha() or after.isalpha())):
                     continue
                 bare = run.replace("�", "")
                 if han:
@@ -808,55 +886,71 @@ class Repair:
 
     def _words(self, text: str) -> tuple[float, str, str]:
         """Words with unusual neighbours, read in another single-byte encoding."""
-        words = []
+        found: dict[int, list[tuple[int, str, str, float]]] = defaultdict(list)
         for m in _WORD.finditer(text):
             w = m.group()
             if not w.isascii():
-                if self.model.unusual(f" {w} "):
-                    form = canonical(w)  # look-alikes are no damage
-                    if form == w or form is not None and not form.isascii() and self.model.mean(" ", form, " ") < self.model.mean(" ", w, " ") + 0.5:
-                        words.append((m.start(), w))
-        if not words:
-            return 0.0, "", text
-        known = {w: self.model.mean(" ", w, " ") for _, w in words}
-        gains: dict[tuple[str, str], float] = {}
-
-        def gain_of(w: str, new: str) -> float:
-            """0 for what can't be meant; pairs of encodings often give the same word."""
-            gain = gains.get((w, new))
-            if gain is None:
-                gain = 0.0
-                if new != w and _NONE not in new and not self.model.unusual(f" {new} ") and _plausible(new, ("Cc", "Cf", "Cn", "Co", "Cs", "Zs")) and (_INNER_CAPITAL.search(w) or not _INNER_CAPITAL.search(new)):
-                    gain = (self.model.mean(" ", new, " ") - known[w]) * (len(w) + 1)
-                gains[w, new] = gain
-            return gain
-
+                for pair, new, gain in self._meant(w):
+                    found[pair].append((m.start(), w, new, gain))
         best, most, name = None, LEAST, ""
-        for shown in SINGLE:
-            own = [(start, w) for start, w in words if _NONE not in w.translate(_table(shown))]
-            if not own:
-                continue
-            joined = "\n".join(w for _, w in own)
-            for meant in SINGLE:
-                if shown == meant:
-                    continue
-                changes, total = [], 0.0
-                for (start, w), new in zip(own, joined.translate(_swap(shown, meant)).split("\n"), strict=True):
-                    gain = gain_of(w, new)
-                    if gain > 1.5:
-                        changes.append((start, w, new))
-                        total += gain
-                # a lone sign that would be a letter elsewhere proves nothing
-                if total > most and any(len(w) > 1 or not new.isalpha() for _, w, new in changes):
-                    best, most, name = changes, total, f"{meant} as {shown}"
+        for pair in sorted(found):
+            changes, total = found[pair], 0.0
+            for *_, gain in changes:
+                total += gain
+            # a lone sign that would be a letter elsewhere proves nothing
+            if total > most and any(len(w) > 1 or not new.isalpha() for _, w, new, _ in changes):
+                shown, meant = divmod(pair, len(SINGLE))
+                best, most, name = changes, total, f"{SINGLE[meant]} as {SINGLE[shown]}"
         if best is None:
             return 0.0, "", text
         parts, last = [], 0
-        for start, w, new in best:
+        for start, w, new, _ in best:
             parts += [text[last:start], new]
             last = start + len(w)
         return most, name, "".join([*parts, text[last:]])
 
+    def _meant(self, word: str) -> list[tuple[int, str, float]]:
+        """(number of the pair of encodings, text, gain) of the readings of an unusual word that are clearly more usual; words come again and are remembered."""
+        found = self.meant.get(word)
+        if found is None:
+            found = self._readings(word) if self._misread(word) else []
+            if len(word) <= 24:
+                if len(self.meant) >= MEMO:
+                    self.meant.clear()
+                self.meant[word] = found
+        return found
+
+    def _misread(self, word: str) -> bool:
+        if not self.model.unusual(f" {word} "):
+            return False
+        form = canonical(word)  # look-alikes are no damage
+        return form == word or form is not None and not form.isascii() and self.model.mean(" ", form, " ") < self.model.mean(" ", word, " ") + 0.5
+
+    def _readings(self, word: str) -> list[tuple[int, str, float]]:
+        found, known = [], self.model.mean(" ", word, " ")
+        # 0 for what can't be meant; pairs of encodings often give the same word
+        gains: dict[str, float] = {word: 0.0}
+        by_bytes: dict[str, list[tuple[int, str, float]]] = {}
+        for k, shown in enumerate(SINGLE):
+            own = word.translate(_table(shown))
+            if _NONE in own:
+                continue
+            options = by_bytes.get(own)
+            if options is None:
+                options = by_bytes[own] = []
+                for i, meant in enumerate(SINGLE):
+                    new = word.translate(_swap(shown, meant))
+                    gain = gains.get(new)
+                    if gain is None:
+                        gain = 0.0
+                        if _NONE not in new and not self.model.unusual(f" {new} ") and _plausible(new, ("Cc", "Cf", "Cn", "Co", "Cs", "Zs")) and (_INNER_CAPITAL.search(word) or not _INNER_CAPITAL.search(new)):
+                            gain = (self.model.mean(" ", new, " ") - known) * (len(word) + 1)
+                        gains[new] = gain
+                    if gain > 1.5:
+                        options.append((i, new, gain))
+            found += [(k * len(SINGLE) + i, new, gain) for i, new, gain in options if i != k]
+        return found
+
 
 def share(texts: DataFrame, text_col: str = "text", quotas: dict[str, int] | None = None) -> Broadcast:
     """The fitted model for the executors; with quotas it holds what occurs in more than one of the texts these add up to."""

@@ -137,3 +137,24 @@ def test_sentence_ends_and_lookups(judge):
     assert L._whole("One two three.) ") and not L._whole("One two three. ) ") and not L._whole("One two three")
     keys = L.grams("Der regionale Bericht " * 4000)[0]
     assert (judge.filters.masks(keys) == np.bitwise_and.reduce(judge.filters.slices[L._slots(keys)], axis=0)).all()
+
+
+def test_words_are_looked_up_once(judge, docs, monkeypatch):
+    """Words that come again cost no look at their n-grams, and what is remembered is bounded; shares are those of all n-grams."""
+    looked: list[int] = []
+    masks = L.Filters.masks
+    monkeypatch.setattr(L.Filters, "masks", lambda self, keys: looked.append(len(keys)) or masks(self, keys))
+    fresh = L.Judge(judge.filters)
+    text = "Der regionale Bericht begrenzt den Vertrag. 内部的水库限制了公共的涂层。 Dans la plupart des cas.\n" * 3
+    found = fresh.segments_of([text] * 50)
+    assert found[0] and all(f == found[0] for f in found)
+    assert 0 < sum(looked) <= len(L.grams(text)[0])
+    monkeypatch.setattr(L, "WORDS", 20)
+    texts = ["", "12 3", "\U00020000 x", "e\u0301 K", *(t for _, _, t in docs[:30])]
+    for part in (texts[:4], texts[4:20], texts):
+        shares, sizes = fresh._shares_by("\n".join(part), np.cumsum([len(t) + 1 for t in part]))
+        for t, own, n in zip(part, shares, sizes, strict=True):
+            expected = judge.shares(t)
+            assert n == expected[1] and (own == expected[0]).all()
+    letters = L._letters_in(texts, [[L.Segment(0, len(t) // 2, "", 0, 0), L.Segment(len(t) // 2, len(t), "", 0, 0)] for t in texts])
+    assert [sum(n) for n in letters] == [sum(map(str.isalpha, t)) for t in texts]

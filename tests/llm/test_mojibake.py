@@ -169,6 +169,21 @@ def test_many_texts_at_once(repair, monkeypatch):
     assert not any(r.damaged for r in repair.all(SENTENCES))
 
 
+def test_screen_of_certain_spans(repair):
+    """Texts that can't hold a certain span aren't looked at alone; what was read before isn't read again."""
+    spans = ["¡¤ ", "¨¡", "Ã©", "â€™", "вЂ™", "‚Äô", "ð\x9f\x98\x80", "‚Ä‚Ä‚Ä‚Ä", "é’é’", "Größe „é“", "aéèb", "éÃ", "Ã", "x\ud800", ""]
+    texts = [*spans, *(f"{a} {b}{a}" for a in spans for b in spans), *SENTENCES, *(wrong(SENTENCES[0], "utf-8", c) for c in ("cp1252", "mac_roman", "cp437", "cp850"))]
+    may = [bool(M._TWO.search(t) and M._gate().search(t)) for t in texts]
+    found = M._Line(texts).certain().tolist()
+    assert all(f for f, m in zip(found, may, strict=True) if m) and sum(found) <= sum(may) + 20 and not found[spans.index("aéèb")]
+    bad = wrong(SENTENCES[4], "koi8_r", "cp1251")
+    fresh = M.Repair(repair.model)
+    first = fresh(bad)
+    assert first.damaged
+    fresh._readings = fresh._read = None  # words and runs are remembered
+    assert fresh(bad) == first
+
+
 def test_tally_in_arrays():
     """Counts in arrays are those of the plain count, whatever the number of texts and signs."""
     texts = ["", "\n", "İ K", "　", "x\ud800", "\U0001d4b3", *(f"{s} {k} {chr(0x4E00 + 3 * k)}" for k in range(300) for s in SENTENCES)]
@@ -177,3 +192,14 @@ def test_tally_in_arrays():
         tally.add(2, text)
     n, single, pair = M._tally(texts)
     assert {key: k for _, key, k in tally.rows()} == {"": n, **single, **pair}
+
+
+def test_blanks_in_arrays():
+    """Blanks of any kind and number count as one, also at the ends and between texts; an empty text has its two."""
+    texts = ["  a \t b\n\n", "", " \u3000\n ", "x", "\u00a0é\x85\x1c ü \u2003", "a", "\u200b \u200b"]
+    for part in (texts, texts[::-1], texts[1:3], texts[:1]):
+        tally = M._Tally()
+        for text in part:
+            tally.add(0, text)
+        n, single, pair = M._tally(part)
+        assert {key: k for _, key, k in tally.rows()} == {"": n, **single, **pair}
