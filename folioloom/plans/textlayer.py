@@ -27,19 +27,13 @@ def q_surrogates(spark: SparkSession, root: str) -> DataFrame:
 
 def _page_spans(spark: SparkSession, root: str) -> DataFrame:
     s = B.upright_boxes(read(spark, root, "spans", *PAGE, "span_id", "type", "content", "bbox").where("type = 'text' AND length(trim(content)) > 0"), "span_box")
-    one = s.groupBy(*PAGE, "span_id").agg(F.min(F.struct("content", "span_box")).alias("s"))
+    one = s.repartition(*PAGE).groupBy(*PAGE, "span_id").agg(F.min(F.struct("content", "span_box")).alias("s"))  # whole pages are needed later
     return one.select(*PAGE, "span_id", "s.content", "s.span_box")
 
 
 def q_char_fill(spark: SparkSession, root: str) -> DataFrame:
     """Scanned lines taken apart into characters without blanks, evenly wide, and filled with them again."""
-    s = spread(_page_spans(spark, root))
-    b = F.col("span_box")
-    each = s.select(*PAGE, "span_id", "span_box", F.length("content").alias("n"), F.posexplode(F.split("content", "")).alias("k", "char")).where("char <> '' AND char <> ' '")
-    w = (b["x1"] - b["x0"]) / F.col("n")
-    box = F.struct((b["x0"] + F.col("k") * w).alias("x0"), b["y0"].alias("y0"), (b["x0"] + (F.col("k") + 1) * w).alias("x1"), b["y1"].alias("y1"))
-    chars = each.select(*PAGE, (F.col("span_id").cast("long") * 100000 + F.col("k")).alias("char_idx"), "char", box.alias("char_box"))
-    return L.filled_spans(s.select(*PAGE, "span_id", "span_box"), chars, PAGE)
+    return L.refilled_spans(_page_spans(spark, root), PAGE)
 
 
 def q_map_errors(spark: SparkSession, root: str) -> DataFrame:

@@ -1,10 +1,15 @@
 """Code units, characters in their spans, objects of pages, grids."""
 
+import math
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from folioloom.operators import objects as B
 from folioloom.operators import textlayer as L
+from folioloom.plans import textlayer as P
 
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 
@@ -54,6 +59,61 @@ def test_ties_private_use_and_empty_tables(spark):
     assert filled(spark, twice, []) == {5: ("", True), 7: ("", True)}
 
 
+PAGE = ["doc_id", "page_idx"]
+LINES = f"doc_id string, page_idx int, span_id int, content string, span_box {BOX}"
+
+
+def odd_lines():
+    """Lines with boxes that cross, tie, are flat, missing or endless, and contents with marks, blanks, ligatures and no letters."""
+    r, rows = random.Random(7), {}
+    for _ in range(900):
+        page = (r.choice(["a", "b", "c", None]), r.choice([0, 1, 2, 3, 4, 5, 6, 7, 8, None]))
+        x, y, h = r.choice([0.0, 3.0, 40.0, r.uniform(-90, 90)]), r.choice([0.0, 12.0, r.uniform(-99, 300)]), r.choice([10.0, 10.0, 12.5, 300.0, 0.0])
+        box = (x, y, x + r.choice([0.0, 4.0, 60.0, r.uniform(1, 99)]), y + h)
+        box = r.choice([box] * 9 + [None, (x, y, math.nan, y + h), (x, y, math.inf, y + h), (x, -math.inf, x + 50, y), (x, y, x + 50, math.nan), (x, -9e6, x + 50, 9e6)])
+        text = "".join(r.choices("abc  .,)(「》ﬁ\u0002\r\n\ue000\U0001d44b", k=r.choice([1, 5, 5, 20, 33])))
+        span = r.choice([None, *range(-3, 40)])
+        rows[page, span] = (*page, span, text, box)
+    return list(rows.values())
+
+
+def taken_apart(s):
+    """The characters of lines as rows, for ``filled_spans``."""
+    each = s.select(*PAGE, "span_id", "span_box", F.length("content").alias("n"), F.posexplode(F.split("content", "")).alias("k", "char")).where("char <> '' AND char <> ' '")
+    b, w = F.col("span_box"), F.expr("(span_box.x1 - span_box.x0) / n")
+    box = F.struct((b["x0"] + F.col("k") * w).alias("x0"), b["y0"].alias("y0"), (b["x0"] + (F.col("k") + 1) * w).alias("x1"), b["y1"].alias("y1"))
+    return each.select(*PAGE, (F.col("span_id").cast("long") * 100000 + F.col("k")).alias("char_idx"), "char", F.when(b.isNotNull(), box).alias("char_box"))
+
+
+def test_lines_are_refilled_as_from_rows_of_characters(spark):
+    long = [("z", 0, 1, "ab" * 50_002 + " cd", (0.0, 0.0, 1e6, 10.0)), ("z", 0, 2, "xyz. u", (5e5, 1.0, 1.3e6, 11.0)), ("z", 1, 1, None, (0.0, 0.0, 9.0, 9.0)), ("z", 1, 2, "", (0.0, 0.0, 9.0, 9.0))]
+    s = spark.createDataFrame(odd_lines(), LINES)
+    for lines in (s, spark.createDataFrame(long, LINES)):
+        want, got = (sorted(df.collect(), key=str) for df in (L.filled_spans(lines.drop("content"), taken_apart(lines), PAGE), L.refilled_spans(lines, PAGE)))
+        assert got == want and len(got) > 3
+    assert sum(" " in r.content for r in L.refilled_spans(s, PAGE).collect()) > 50
+    assert L.refilled_spans(s.limit(0), PAGE).count() == 0
+
+
+def test_refilled_in_any_portions(spark, monkeypatch):
+    rows = sorted(odd_lines(), key=lambda r: tuple((v is not None, v) for v in r[:3]))
+    table = spark.createDataFrame(rows, LINES).coalesce(1).toArrow()
+    whole = pa.Table.from_batches(L._refill(iter(table.to_batches()), PAGE))
+    assert whole.num_rows == len(rows)
+    for held, batch in ((1, 1), (7, 3), (60, 40), (500, 1000)):
+        monkeypatch.setattr(L, "HELD", held)
+        assert pa.Table.from_batches(L._refill(iter(table.to_batches(max_chunksize=batch)), PAGE))["text"].to_pylist() == whole["text"].to_pylist()
+
+
+def test_no_character_is_shuffled(spark, tmp_path):
+    row = ("a", 0, 1, "text", "one line", (0.0, 0.0, 90.0, 10.0))
+    spark.createDataFrame([row, row], f"doc_id string, page_idx int, span_id int, type string, content string, bbox {BOX}").write.parquet(f"{tmp_path}/spans.parquet")
+    df = P.q_char_fill(spark, str(tmp_path))
+    assert [tuple(r) for r in df.collect()] == [("a", 0, 1, "one line", False)]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan
+
+
 def test_map_errors(spark):
     df = spark.createDataFrame([("a", "x� y"), ("a", None), ("b", None), ("c", "")], "doc_id string, content string")
     assert {r.doc_id: (r.chars, r.errors, r.share) for r in L.map_errors(df, "doc_id", "content").collect()} == {"a": (3, 1, pytest.approx(1 / 3)), "b": (0, 0, 0.0), "c": (0, 0, 0.0)}
